@@ -46,7 +46,7 @@ def bags(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def telling(x: list[np.ndarray], y: np.ndarray, least: int = 4, z: float = 5.0) -> np.ndarray:
     """Buckets of at least so many documents whose share of the category is z standard errors off."""
-    ids = np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)
+    ids = np.concatenate([*x, np.empty(0, np.int32)])
     n = np.bincount(ids, minlength=1 << BITS)
     t = np.bincount(ids, np.repeat(y, [len(i) for i in x]), 1 << BITS)
     p = float(np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3))
@@ -93,8 +93,10 @@ class Chain:
     def fit(self, texts: list[str], y: np.ndarray, folds: int = 5) -> Chain:
         """y: 0/1, a row for each text and a column for each category."""
         buf, offs = B.flat(pa.array([t or "" for t in texts], pa.large_string()))
-        ids, at = bags(buf, offs)
-        x = [ids[i:j] for i, j in zip(at, at[1:])]
+        x: list[np.ndarray] = []
+        for i, j in B.pieces(offs):  # the hashing of all texts at once would take a hundred times their size
+            ids, at = bags(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+            x += [ids[a:b].astype(np.int32) for a, b in zip(at, at[1:])]
         fold = np.arange(len(x)) % folds
         earlier = np.zeros((len(x), 0))
         for k in range(len(self.names)):
