@@ -215,7 +215,7 @@ def identify(field: Field, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarra
 
 def fit(docs: DataFrame, train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", rows_per_language: int = 400) -> Field:
     """A field from at most rows_per_language whole texts of each non-null lang where train_on holds, those of least hash."""
-    rows = docs.where(f"({train_on}) and lang is not null and text is not null")
+    rows = docs.select("doc_id", "lang", "text").where(f"({train_on}) and lang is not null and text is not null")
     names = [r.lang for r in rows.select("lang").distinct().collect()]
     ids = None
     for name in names:

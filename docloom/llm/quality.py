@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train_on: st
     """A model from at most `sample_rows` labelled rows where train_on holds: those of least hash, whole texts."""
     ids = labels.where(f"({train_on}) and {label} is not null").select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
     ids = ids.orderBy(F.xxhash64("_id"), "_y").limit(sample_rows)
-    rows = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("_id", "_y", "text").limit(2 * sample_rows).collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("_id", "_y", "text").limit(2 * sample_rows).collect()
     rows.sort(key=lambda r: (r._id, r._y, r.text or ""))
     return train([r.text for r in rows], [r._y for r in rows])
 

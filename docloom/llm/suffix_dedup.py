@@ -33,6 +33,7 @@ from . import bytecode as B
 from .common import internal, width
 
 SPAN, GRAM, SYMBOL = 100, 40, 20
+MADE = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
 _STEP, _MASK = 1 << 18, np.uint64((1 << 20) - 1)
 
 
@@ -436,8 +437,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_te
     replies = sent.groupBy("bucket").applyInArrow(_answer(hot), "bucket int, block long, gone binary, ask binary, deal binary")
     detail = d.groupBy(block_col).cogroup(replies.groupBy("block")).applyInArrow(_detail(*names), _DETAIL)
     verdicts = detail.groupBy("bucket").applyInArrow(_resolve(batch_bytes), _VERDICT)
-    made = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
-    keep = tuple(c for c in keep if c.lower() not in made)
+    keep = tuple(c for c in keep if c.lower() not in MADE)
     kinds = {f.name: f.dataType.simpleString() for f in d.schema.fields}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "n_bytes long, n_removed long, n_spans long, kept_sha256 string", *["kept_text string"] * with_text])
     return d.groupBy(block_col).cogroup(verdicts.groupBy("block")).applyInArrow(_cut(*names, keep, with_text), schema)
@@ -445,7 +445,9 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_te
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """docs with the repeated bytes cut from text, and n_chars, where there is one, counted anew."""
-    others = tuple(c for c in docs.columns if c != "text")
-    found = remove_repeats(docs, keep=others, with_text=True, **options)
+    at = {c: internal(docs, f"_{k}") if c.lower() in MADE else c for k, c in enumerate(docs.columns)}
+    plain = docs.select(*(F.col(c).alias(x) for c, x in at.items()))
+    found = remove_repeats(plain, keep=tuple(x for c, x in at.items() if c != "text"), with_text=True, **options)
     text = F.col("kept_text")
-    return found.select(*[text.alias(c) if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    made = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in at else {})
+    return found.select(*(made.get(c, F.col(x)).alias(c) for c, x in at.items()))

@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], train_on
     """
     cols = [F.coalesce(F.expr(e), F.lit(False)).cast("int").alias(f"_y{k}") for k, e in enumerate(categories.values())]
     ids = labels.where(train_on).select(F.col("doc_id").alias("_id"), *cols).orderBy(F.xxhash64("_id"), *(f"_y{k}" for k in range(len(cols)))).limit(sample_rows)
-    rows = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("_id", "text", *ids.columns[1:]).limit(2 * sample_rows).collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("_id", "text", *ids.columns[1:]).limit(2 * sample_rows).collect()
     rows.sort(key=lambda r: (r._id, tuple(r[2:]), r.text or ""))
     y = np.array([[r[f"_y{k}"] for k in range(len(cols))] for r in rows], np.float64).reshape(len(rows), len(cols))
     return Chain(list(categories)).fit([r.text for r in rows], y)
