@@ -339,18 +339,18 @@ def chunks_per_doc(spark, d):
 
 # ---- metadata
 
-_ROWS = "SELECT 'doc_' || (doc_id % 60) || '.md' AS filename, doc_id AS position, quality FROM labels"
+_ROWS = "SELECT 'doc_' || (doc_id - doc_id % 3) || '.md' AS filename, doc_id AS position, quality FROM labels"
 
 
 def _label_rows(spark, d):
-    return X.table(spark, d, "labels").select(F.concat(F.lit("doc_"), F.col("doc_id") % 60, F.lit(".md")).alias("filename"), F.col("doc_id").alias("position"), "quality")
+    return X.table(spark, d, "labels").select(F.concat(F.lit("doc_"), F.col("doc_id") - F.col("doc_id") % 3, F.lit(".md")).alias("filename"), F.col("doc_id").alias("position"), "quality")
 
 
 def _doc_files(spark, d):
-    return X.table(spark, d, "documents").where("doc_id < 80").select(F.concat(F.lit("doc_"), F.col("doc_id"), F.lit(".md")).alias("filename"))
+    return X.table(spark, d, "documents").select(F.concat(F.lit("doc_"), F.col("doc_id"), F.lit(".md")).alias("filename"))
 
 
-_FILES = "SELECT 'doc_' || doc_id || '.md' AS filename FROM documents WHERE doc_id < 80"
+_FILES = "SELECT 'doc_' || doc_id || '.md' AS filename FROM documents"
 
 
 @query(f"WITH m AS (SELECT *, row_number() OVER (PARTITION BY filename ORDER BY position) AS rn FROM ({_ROWS})) SELECT f.filename, m.position, m.quality FROM ({_FILES}) f LEFT JOIN m ON f.filename = m.filename AND m.rn = 1")
@@ -382,14 +382,14 @@ def doc_metadata(spark, d):
 
 # ---- index
 
-_SNAP = f"{X.CHUNKS}, base AS (SELECT doc_id, filename, chunk_idx, page_content FROM chunks WHERE doc_id % 3 <> 0), incoming AS (SELECT doc_id, filename, chunk_idx, 'new ' || page_content AS page_content FROM chunks WHERE doc_id % 2 = 0), work AS (SELECT DISTINCT filename FROM incoming UNION SELECT 'out/doc_1.md')"
+_SNAP = f"{X.CHUNKS}, base AS (SELECT doc_id, filename, chunk_idx, page_content FROM chunks), incoming AS (SELECT doc_id, filename, chunk_idx, 'new ' || page_content AS page_content FROM chunks WHERE doc_id IN (SELECT doc_id FROM labels)), work AS (SELECT DISTINCT filename FROM incoming UNION SELECT 'out/doc_1.md')"
 
 
 def _snapshots(spark, d):
     c = _chunks(spark, d).select("doc_id", "filename", "chunk_idx", "page_content")
-    incoming = c.where("doc_id % 2 = 0").withColumn("page_content", F.concat(F.lit("new "), F.col("page_content")))
+    incoming = c.join(X.table(spark, d, "labels"), "doc_id", "left_semi").withColumn("page_content", F.concat(F.lit("new "), F.col("page_content")))
     work = incoming.select("filename").distinct().unionByName(spark.createDataFrame([("out/doc_1.md",)], "filename string"))
-    return c.where("doc_id % 3 <> 0"), incoming, work
+    return c, incoming, work
 
 
 @query(f"WITH {_SNAP} SELECT * FROM base UNION ALL SELECT * FROM incoming")
@@ -421,15 +421,17 @@ def index_size(spark, d):
     return _snapshots(spark, d)[0].agg(F.count("*").alias("n"))
 
 
-@query("""WITH o AS (SELECT n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'cosine' ELSE 'l2' END AS distance, 'm' AS model, 'flat' AS t FROM nation WHERE n_nationkey < 15),
-n AS (SELECT n_name AS name, 'cosine' AS distance, 'm' AS model, 'hybrid' AS t FROM nation WHERE n_nationkey >= 10)
+@query("""WITH o AS (SELECT n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'cosine' ELSE 'l2' END AS distance, 'm' AS model, 'flat' AS t FROM nation),
+n AS (SELECT n_name AS name, 'cosine' AS distance, 'm' AS model, 'hybrid' AS t FROM (SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name LIKE 'A%' UNION ALL SELECT r_name FROM region))
 SELECT n.name, n.distance, n.model, CASE WHEN o.distance = n.distance THEN o.t || ',' || n.t ELSE n.t END AS types FROM n LEFT JOIN o USING (name)
 UNION ALL SELECT name, distance, model, t FROM o WHERE name NOT IN (SELECT name FROM n)""")
 def registry_merge(spark, d):
     n = X.table(spark, d, "nation")
     row = lambda dist, t: (F.col("n_name").alias("name"), dist.alias("distance"), F.lit("m").alias("model"), F.array(F.lit(t)).alias("types"))
-    old = n.where("n_nationkey < 15").select(*row(F.when(F.col("n_nationkey") % 2 == 0, "cosine").otherwise("l2"), "flat"))
-    return I.registry_merge(old, n.where("n_nationkey >= 10").select(*row(F.lit("cosine"), "hybrid"))).withColumn("types", F.array_join("types", ","))
+    region = X.table(spark, d, "region")
+    old = n.select(*row(F.when(F.col("n_nationkey") % 2 == 0, "cosine").otherwise("l2"), "flat"))
+    names = n.join(region, F.col("n_regionkey") == F.col("r_regionkey")).where("r_name like 'A%'").select("n_name").unionByName(region.select(F.col("r_name").alias("n_name")))
+    return I.registry_merge(old, names.select(*row(F.lit("cosine"), "hybrid"))).withColumn("types", F.array_join("types", ","))
 
 
 @query("SELECT vec_id, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))), 6)) AS v FROM embeddings")
@@ -438,25 +440,25 @@ def l2_normalize(spark, d):
 
 
 def _sql_knn(score: str, order: str) -> str:
-    return f"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id, round({score}, 6) AS score FROM v a JOIN v b ON a.vec_id < 10 AND a.vec_id <> b.vec_id),
+    return f"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id, round({score}, 6) AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score {order}, vec_id) AS INTEGER) AS rank FROM s) SELECT query_id, vec_id, score, rank FROM r WHERE rank <= 5"""
 
 
 @query(_sql_knn("list_cosine_similarity(a.e, b.e)", "DESC"))
 def knn_cosine(spark, d):
     v = X.table(spark, d, "embeddings")
-    return I.knn(v, v.where("vec_id < 10"), 5)
+    return I.knn(v, v.where("vec_id % 100 = 0"), 5)
 
 
 @query(_sql_knn("list_distance(a.e, b.e)", "ASC"))
 def knn_l2(spark, d):
     v = X.table(spark, d, "embeddings")
-    return I.knn(v, v.where("vec_id < 10"), 5, "l2")
+    return I.knn(v, v.where("vec_id % 100 = 0"), 5, "l2")
 
 
 _POSTS = r"""w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents),
 posts AS (SELECT doc_id, term, CAST(dl AS INTEGER) AS dl, count(*) AS tf FROM (SELECT doc_id, len(w) AS dl, unnest(w) AS term FROM w) GROUP BY 1, 2, 3)"""
-_BM25 = rf"""{_POSTS}, q AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS term FROM benchmark WHERE item_id < 10),
+_BM25 = rf"""{_POSTS}, q AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS term FROM benchmark),
 df AS (SELECT term, count(*) AS df FROM posts GROUP BY 1), st AS (SELECT count(*) AS n, avg(len(w)) AS al FROM w),
 sc AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / al))), 6) AS score FROM posts JOIN q USING (term) JOIN df USING (term), st GROUP BY 1, 2),
 bm AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM sc)"""
@@ -467,7 +469,7 @@ def _bm25(spark, d, k):
     posts = I.postings(docs)
     words = lambda t: F.regexp_extract_all(F.lower(t), F.lit(f"{T.WORD}+"), F.lit(0))
     n, avg = docs.agg(F.count("*"), F.avg(F.size(words("text")))).first()
-    q = X.table(spark, d, "benchmark").where("item_id < 10").select(F.col("item_id").alias("query_id"), F.explode(words("text")).alias("term"))
+    q = X.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(words("text")).alias("term"))
     return I.bm25(posts, n, avg, q, k)
 
 
@@ -481,14 +483,14 @@ def bm25_search(spark, d):
     return _bm25(spark, d, 10)
 
 
-@query(f"""WITH {_BM25}, v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id AS id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON a.vec_id < 10 AND a.vec_id <> b.vec_id),
+@query(f"""WITH {_BM25}, v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id AS id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
 dense AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s),
 b AS (SELECT query_id, id, rank FROM dense WHERE rank <= 20 UNION ALL SELECT query_id, doc_id, rank FROM bm WHERE rank <= 20),
 f AS (SELECT query_id, id, round(sum(1.0 / (60 + rank)), 9) AS score FROM b GROUP BY 1, 2)
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM f) WHERE rank <= 10""")
 def hybrid_rrf(spark, d):
     v = X.table(spark, d, "embeddings")
-    dense = I.knn(v, v.where("vec_id < 10"), 20).withColumnRenamed("vec_id", "id")
+    dense = I.knn(v, v.where("vec_id % 100 = 0"), 20).withColumnRenamed("vec_id", "id")
     return I.fuse(dense, _bm25(spark, d, 20).withColumnRenamed("doc_id", "id"), 10)
 
 
