@@ -2,8 +2,8 @@
 
 Bigram counts are gathered from all training documents, quantised to powers of two and stored in a
 Bloom filter as (bigram, 1), (bigram, 2), ... up to the count's level (Talbot & Osborne 2007). The
-filter goes to the workers by broadcast; a bigram's level is found by probing until a level is
-missing, and the probability is smoothed with the exact unigram probability:
+filter goes to the workers by broadcast; a bigram's level, 1 + floor(log2(count)), is found by probing
+until a level is missing, and the probability is smoothed with the exact unigram probability:
 
     P(v | u) = (count(u, v) + alpha * P(v)) / (count(u) + alpha)
 
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from . import bytecode as B
 from .common import durable, internal, width
 
-HASHES, LEAST = 7, 2
+#: Probes of a level; the least count that enters the filter.
+HASHES, LEAST = 7, 1
 END = B.mix(np.array([0x45AD], np.uint64))[0]
 START = B.mix(np.array([0x57A7], np.uint64))[0]
 _STEP = B.U(0x9E3779B97F4A7C15)
@@ -129,8 +130,8 @@ def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fill_slice(key: np.ndarray, count: np.ndarray) -> tuple[int, bytes]:
-    """Bits and bytes of a log-frequency Bloom filter of these counts (2 and more)."""
-    level = np.log2(count).astype(np.int64)
+    """Bits and bytes of a log-frequency Bloom filter of these counts (1 and more)."""
+    level = 1 + np.log2(count).astype(np.int64)
     rep = np.repeat(key, level)
     lev = np.arange(len(rep)) - np.repeat(np.cumsum(level) - level, level)
     bits = max(64, int(np.ceil(len(rep) * HASHES / np.log(2))))
@@ -160,7 +161,7 @@ class Filter:
         self.data = np.frombuffer(b"".join(raw for _, _, raw in slices), np.uint8)
 
     def counts(self, key: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        """Estimated counts: about the middle of the level's range, 0 if no level is found."""
+        """Estimated counts: 1.4 times the least count of the level, 0 if no level is found."""
         level = np.zeros(len(key), np.int64)
         live = np.flatnonzero(self.bits[bucket] > 0)
         key = key & B.U((1 << 48) - 1)
@@ -175,7 +176,7 @@ class Filter:
                 live, x, y, bits, base = live[hit], x[hit], y[hit], bits[hit], base[hit]
             level[live] = step
             step += 1
-        return np.where(level > 0, np.exp2(level) * 1.4, 0.0)
+        return np.where(level > 0, np.exp2(level - 1) * 1.4, 0.0)
 
 
 def _learn(buckets: int):
@@ -186,8 +187,7 @@ def _learn(buckets: int):
         if kind == 1:
             row = (1, bucket, int(count.sum()), len(key), b"")
         else:
-            often = count >= LEAST
-            bits, raw = fill_slice(key[often], count[often]) if often.any() else (0, b"")
+            bits, raw = fill_slice(key, count)
             row = (2, bucket, bits, len(key), raw)
         return pa.table({"kind": pa.array([row[0]], pa.int32()), "bucket": pa.array([row[1]], pa.int32()), "x": [row[2]], "y": [row[3]], "raw": pa.array([row[4]], pa.binary())})
 

@@ -272,6 +272,34 @@ def test_the_filter_forgets_no_count():
     assert (f.counts(other, np.zeros(len(other), np.int64)) > 0).mean() < 0.02
 
 
+def test_bigrams_seen_once_are_in_the_filter(spark):
+    rng = np.random.default_rng(8)
+    key = rng.integers(0, 1 << 63, 4000, dtype=np.uint64) & np.uint64((1 << 48) - 1)
+    count = np.repeat([1, 2, 3, 4], 1000)
+    bits, raw = lm_bloom.fill_slice(key, count)
+    got = lm_bloom.Filter([(0, bits, raw)], 1).counts(key, np.zeros(len(key), np.int64))
+    assert (got >= 2.0 ** np.log2(count).astype(int)).all() and (got == np.repeat([1.4, 2.8, 2.8, 5.6], 1000)).mean() > 0.98
+
+    rng = random.Random(12)
+    words = [f"v{i}" for i in range(200)]
+    rows = [(i, f"{w} {x}") for i, (w, x) in enumerate(zip(words, rng.sample(words, 200)))]
+    rows += [(1000 + i, t) for i, t in rows] + [(2000 + i, f"{w} {w}") for i, w in enumerate(words)]
+    got = {r.doc_id: r for r in lm_bloom.score(spark.createDataFrame(rows, SCHEMA), "doc_id < 1000").collect()}
+    c = Counter(x for i, t in rows if i < 1000 for x in lm_tokens(t))
+    pairs = Counter(p for i, t in rows if i < 1000 for p in zip(["<s>", *lm_tokens(t)[:-1]], lm_tokens(t)))
+    n, v = sum(c.values()), len(c)
+    exact = 0
+    for d, t in rows:
+        x, want = lm_tokens(t), 0.0
+        for u, w in zip(["<s>", *x[:-1]], x):
+            cu, k = 200 if u == "<s>" else c[u], pairs[u, w]
+            estimate = min(2 ** int(np.log2(k)) * 1.4, cu) if k else 0
+            want += np.log10((estimate + 64 * (c[w] + 0.1) / (n + 0.1 * (v + 1))) / (cu + 64))
+        assert got[d].score - want > -1e-6
+        exact += abs(got[d].score - want) < 1e-6
+    assert exact > 0.9 * len(rows)
+
+
 # ---- benchmark passages
 
 
