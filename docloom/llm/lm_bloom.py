@@ -232,7 +232,13 @@ def _reply(table: pa.Table) -> pa.Table:
     return pa.table({"block": table["block"], "keys": table["keys"], "total": pa.array([p.tobytes() for p in parts], pa.binary())})
 
 
-def _score(text_col, train_col, buckets, shared, n_tokens: int, n_types: int, alpha: float, keep: list[str], first: bool):
+def order_hash(tok: np.ndarray, toff: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the documents' sequences of tokens."""
+    at = np.arange(len(tok)) - np.repeat(toff[:-1], np.diff(toff))
+    return np.add.reduceat(B.mix(tok + at.astype(np.uint64) * _STEP), toff[:-1]).view(np.int64)
+
+
+def _score(text_col, train_col, buckets, shared, n_tokens: int, n_types: int, alpha: float, keep: list[str], first: bool, hash_col: str | None):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(docs):
             return pa.table({})
@@ -242,7 +248,7 @@ def _score(text_col, train_col, buckets, shared, n_tokens: int, n_types: int, al
         key, total = key[order], total[order]
         filt: Filter = shared.value
         buf, offs = B.flat(docs[text_col])
-        out = {n: [] for n in ("n_tokens", "n_known", "base_score", "score")}
+        out = {n: [] for n in ("n_tokens", "n_known", "base_score", "score", *([hash_col] if hash_col else []))}
         for i, j in B.pieces(offs):
             tok, toff = tokens(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
             before = contexts(tok, toff)
@@ -263,6 +269,8 @@ def _score(text_col, train_col, buckets, shared, n_tokens: int, n_types: int, al
             out["n_known"].append(np.add.reduceat((c > 0).astype(np.int64), s))
             out["base_score"].append(np.add.reduceat(np.log10(p1), s))
             out["score"].append(np.add.reduceat(logp, s))
+            if hash_col:
+                out[hash_col].append(order_hash(tok, toff))
         return pa.table({**{k: docs[k] for k in keep}, **{k: np.concatenate(v) for k, v in out.items()}})
 
     return run
@@ -305,18 +313,19 @@ def score(docs: DataFrame, train: str, keep: tuple[str, ...] = ("doc_id",), alph
     kinds = {f.name: f.dataType.simpleString() for f in d.schema.fields}
     row = internal(d, "_row")
     made = ("n_tokens", "n_known", "base_score", "score")
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in (*keep, train_col)), "n_tokens long, n_known long, base_score double, score double"])
+    hash_col = internal(d, "_order") if len(passes) > 1 else None
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in (*keep, train_col)), "n_tokens long, n_known long, base_score double, score double", *([f"`{hash_col}` long"] if hash_col else [])])
     out = None
     every = {b for b, _ in sizes}
     for k, part in enumerate(passes):
         slices = [(r.bucket, r.x, bytes(r.raw)) for r in model.where((F.col("kind") == 2) & F.col("bucket").isin(part)).sort("bucket").collect()] if part else []
         filt = Filter(slices, buckets)
         filt.missing = np.isin(np.arange(buckets), sorted(every - set(part))) if len(passes) > 1 else None
-        one = d.groupBy(block_col).cogroup(replies.groupBy("block")).applyInArrow(_score(text_col, train_col, buckets, spark.sparkContext.broadcast(filt), int(n_tokens), int(n_types), alpha, [*keep, train_col], k == 0), schema)
+        one = d.groupBy(block_col).cogroup(replies.groupBy("block")).applyInArrow(_score(text_col, train_col, buckets, spark.sparkContext.broadcast(filt), int(n_tokens), int(n_types), alpha, [*keep, train_col], k == 0, hash_col), schema)
         out = one if out is None else out.unionByName(one)
     if len(passes) > 1:
-        # rows that agree in all that is kept and counted are alike in score too: their parts add up to so many times it
-        by = [*keep, train_col, *made[:3]]
-        out = out.groupBy(*by).agg(F.sum("score").alias("score"), F.count("*").alias(row)).withColumn(row, (F.col(row) / len(passes)).cast("int"))
+        # rows that agree in all that is kept and in the sequence of tokens are alike in score too: their parts add up to so many times it
+        by = [*keep, train_col, *made[:2], hash_col]
+        out = out.groupBy(*by).agg(F.min("base_score").alias("base_score"), F.sum("score").alias("score"), F.count("*").alias(row)).withColumn(row, (F.col(row) / len(passes)).cast("int"))
         out = out.withColumn("score", F.col("score") / F.col(row)).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(row)))).drop("_copy", row)
     return out.select(*(c for c in keep if c not in (*made, "held_out", "train_tokens")), (~F.col(train_col)).alias("held_out"), *made[:2], F.lit(int(n_tokens)).cast("long").alias("train_tokens"), *made[2:])

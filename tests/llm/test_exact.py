@@ -300,6 +300,14 @@ def test_bigrams_seen_once_are_in_the_filter(spark):
     assert exact > 0.9 * len(rows)
 
 
+def test_rows_of_one_doc_id_with_words_in_another_order_keep_their_scores(spark):
+    rows = [(i, "alpha beta") for i in range(50)] + [(d, t) for d in (900, None) for t in ("alpha beta", "beta alpha", "beta alpha")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    one, several = (sorted(((r.doc_id or -1, r.score) for r in lm_bloom.score(docs, "doc_id < 900", **options).collect())) for options in ({}, {"filter_bytes": 1}))
+    assert len(one) == len(several) == len(rows)
+    assert [d for d, _ in one] == [d for d, _ in several] and np.allclose([x for _, x in one], [x for _, x in several], atol=1e-9)
+
+
 # ---- benchmark passages
 
 
