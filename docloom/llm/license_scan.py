@@ -6,8 +6,8 @@ The SHA-256 of an entire text in that form is looked up among the digests of kno
 hash join. The same is done for single lines against known one-line notices.
 
 The canonical form is a chain of SQL expressions that Spark and DuckDB share (Java and RE2 regular
-expressions agree on them). Since every known text contains one of a few words, texts without
-them are not brought to that form; they can't match.
+expressions agree on them). Since every built-in text contains one of a few words, texts without
+them are not brought to that form unless the caller gives further licences; they can't match.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(doc_id, digest, license_id, notice_ids) for every row of docs (doc_id, text).
 
     digest is that of the entire canonical text, null if the text is null or has none of the words that
-    known texts have. license_id is the licence whose entire text this is, else null; notice_ids
+    the built-in texts have; if known is given, null only for a null or empty canonical text. license_id is the licence whose entire text this is, else null; notice_ids
     lists, in order and joined by commas, the licences of which a whole line is a known notice. An empty
     text is no licence. known (digest, license_id) adds to the built-in licences; it is joined as it
     is, not broadcast by hand. Other columns are not read.
@@ -111,11 +111,13 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     notices = spark.createDataFrame([(k, n) for k, v in NOTICES.items() for n in v], "license_id string, text string")
     pairs = {r.digest: r.license_id for r in notices.selectExpr(f"{digest_sql('text')} AS digest", "license_id").collect()}
     table = F.create_map(*(F.lit(x) for kv in sorted(pairs.items()) for x in kv))
+    # what words the caller's licences have is not known
+    digest = f"CASE WHEN lower(text) rlike '{TEXT_WORDS}' THEN {digest_sql('text')} END" if known is None else f"nullif({digest_sql('text')}, sha2('', 256))"
     text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     line_digests = F.expr(f"transform(filter(split(text, '\\\\n'), l -> lower(l) rlike '{NOTICE_WORDS}'), l -> {digest_sql('l')})")
     marked = text.select(
         "doc_id",
-        F.expr(f"CASE WHEN lower(text) rlike '{TEXT_WORDS}' THEN {digest_sql('text')} END").alias("digest"),
+        F.expr(digest).alias("digest"),
         F.when(F.lower("text").rlike(NOTICE_WORDS), line_digests).alias("lines"),
     )
     ids = F.array_sort(F.array_distinct(F.filter(F.transform("lines", lambda d: table[d]), lambda x: x.isNotNull())))

@@ -141,3 +141,12 @@ def test_further_licences_can_be_given(spark):
     known = spark.createDataFrame([("Own", text)], "license_id string, text string").selectExpr(f"{license_scan.digest_sql('text')} AS digest", "license_id")
     got = license_scan.scan(spark.createDataFrame([(1, text.upper())], "doc_id long, text string"), known).collect()
     assert got[0].license_id == "Own"
+
+
+def test_further_licences_need_none_of_the_english_words(spark):
+    text = "Jeder darf dieses Werk frei nutzen und weitergeben."
+    known = spark.createDataFrame([("Frei", text)], "license_id string, text string").selectExpr(f"{license_scan.digest_sql('text')} AS digest", "license_id")
+    rows = [(1, text.upper()), (2, text + " Nicht!"), (3, None), (4, ""), (5, "...")]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()}
+    assert {d: r.license_id for d, r in got.items()} == {1: "Frei", 2: None, 3: None, 4: None, 5: None}
+    assert [got[d].digest for d in (3, 4, 5)] == [None] * 3
