@@ -5,7 +5,8 @@
    similarity 0.8 is missed with probability (1 - 0.8**4)**24 = 3e-6.
 3. Classes that are connected by shared bands are a cluster. Clusters are compared in blocks of
    bounded size: signature batches are compared one after another, and a pair is given up as soon
-   as the posterior probability of reaching the threshold falls below `miss`.
+   as the posterior probability of reaching the threshold falls below `miss`, and so late that a
+   pair at the threshold is given up with a probability of `miss` at most.
 4. Survivors are verified exactly on their full shingle sets. A block returns a spanning forest of
    its links, never its pairs, so copies do not multiply rows.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -48,16 +50,19 @@ def bands(sigs: np.ndarray) -> np.ndarray:
 @lru_cache
 def least_matches(threshold: float, miss: float, n: int) -> tuple[int, ...]:
     """For each number of compared values BATCH, 2 * BATCH, ... n: the fewest matches with which
-    P(similarity >= threshold | matches) is at least `miss`, under a uniform prior."""
+    P(similarity >= threshold | matches) is at least `miss`, under a uniform prior, or fewer: over all
+    numbers together, a pair at the threshold has fewer matches with a probability of `miss` at most."""
     x = (np.arange(20000) + 0.5) / 20000
     out = []
+    share = miss / (n // BATCH)
     for k in range(BATCH, n + 1, BATCH):
         for m in range(k + 1):
             logp = m * np.log(x) + (k - m) * np.log1p(-x)
             p = np.exp(logp - logp.max())
             if p[x >= threshold].sum() >= miss * p.sum():
                 break
-        out.append(m)
+        below = np.cumsum([comb(k, i) * threshold**i * (1 - threshold) ** (k - i) for i in range(m)])
+        out.append(int((below <= share).sum()))
     return tuple(out)
 
 

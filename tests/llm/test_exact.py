@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 from collections import Counter
@@ -182,6 +183,17 @@ def test_pruning_bounds_follow_the_posterior():
     assert ((counts < np.array(least)).any(1)).mean() < 1e-3
 
 
+def test_pairs_at_the_threshold_are_pruned_with_probability_miss_at_most():
+    for threshold, miss in ((0.8, 1e-6), (0.5, 1e-4)):
+        step = np.array([math.comb(minhash.BATCH, i) * threshold**i * (1 - threshold) ** (minhash.BATCH - i) for i in range(minhash.BATCH + 1)])
+        alive, lost = np.ones(1), 0.0
+        for least in minhash.least_matches(threshold, miss, 96):
+            alive = np.convolve(alive, step)
+            lost += alive[:least].sum()
+            alive[:least] = 0
+        assert 0 < lost <= miss
+
+
 # ---- packing
 
 
