@@ -2,53 +2,58 @@
 
 The histogram of document lengths covers all documents; dynamic programming over it chooses the
 bucket lengths that leave the least padding. Within a bucket, batches hold as many documents as the
-token budget allows at the bucket's length. Lengths up to 4096 are exact in the histogram, longer
-ones are rounded up to 1/64 of their power of two, so that it has a bounded number of entries.
+token budget allows at the bucket's length. All lengths are exact in the histogram: d different lengths
+take d**2 / 2 tokens of text at least, so that its entries are few beside the documents.
 """
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable
 
 WORD = r"[^\x20\x09-\x0D]+"
-EXACT, PARTS = 4096, 64
-
-
-def rounded(n: Column) -> Column:
-    """Length as the histogram has it: exact up to EXACT, then rounded up."""
-    step = F.pow(F.lit(2), F.length(F.bin(n)) - 1 - int(np.log2(PARTS))).cast("long")
-    return F.when(n <= EXACT, F.greatest(n, F.lit(1))).otherwise(F.ceil(n / step).cast("long") * step).cast("long")
 
 
 def optimal_buckets(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
     """Of the distinct ascending lengths, the at most `buckets` upper bounds with the least padding.
 
     Padding is the sum over all documents of their bound less their length; of equally good
-    choices, the one with fewer buckets. O(buckets * lengths**2), exact in integers.
+    choices, the one with fewer buckets. O(buckets * lengths), exact in integers: a bucket (i, j] costs
+    x[j] * (c[j] - c[i]) - (s[j] - s[i]), so the best i for each j is on the lower hull of lines in x[j].
     """
     m = len(lengths)
     if not m:
         return []
-    x, n = np.array(lengths, np.int64), np.array(counts, np.int64)
-    c, s = np.concatenate(([0], np.cumsum(n))), np.concatenate(([0], np.cumsum(n * x)))
-    k = min(buckets, m)
-    far = np.iinfo(np.int64).max // 2
-    best = np.full((k + 1, m + 1), far)
-    back = np.zeros((k + 1, m + 1), np.int64)
-    best[0, 0] = 0
-    for j in range(1, m + 1):
-        cost = (c[j] - c[:j]) * x[j - 1] - (s[j] - s[:j])
-        total = best[:k, :j] + cost
-        back[1:, j] = total.argmin(1)
-        best[1:, j] = np.minimum(total.min(1), far)
-    b, j, out = int(best[1:, m].argmin()) + 1, m, []
+    c = [0, *accumulate(counts)]
+    s = [0, *accumulate(n * x for n, x in zip(counts, lengths))]
+    best: list[int | None] = [0] + [None] * m
+    back, padding = [], []
+    while len(back) < min(buckets, m):
+        hull: list[tuple[int, int, int]] = []  # slope, value at 0, i; slopes fall
+        new: list[int | None] = [None] * (m + 1)
+        came, at = [0] * (m + 1), 0
+        for j, x in enumerate(lengths, 1):
+            if best[j - 1] is not None:
+                k, y = -c[j - 1], best[j - 1] + s[j - 1]
+                while len(hull) > 1 and (y - hull[-2][1]) * (hull[-2][0] - hull[-1][0]) <= (hull[-1][1] - hull[-2][1]) * (hull[-2][0] - k):
+                    hull.pop()
+                hull.append((k, y, j - 1))
+                at = min(at, len(hull) - 1)
+            if hull:
+                while at + 1 < len(hull) and hull[at + 1][0] * x + hull[at + 1][1] < hull[at][0] * x + hull[at][1]:
+                    at += 1
+                new[j], came[j] = hull[at][0] * x + hull[at][1] + x * c[j] - s[j], hull[at][2]
+        best = new
+        back.append(came)
+        padding.append(best[m])
+    b, j, out = padding.index(min(padding)), m, []
     while j:
-        out.append(int(x[j - 1]))
-        j, b = int(back[b, j]), b - 1
+        out.append(lengths[j - 1])
+        j, b = back[b][j], b - 1
     return out[::-1]
 
 
@@ -63,7 +68,7 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 65536, rows_per_chunk
     the chunks before; no bucket is gathered in one task. Other columns are not read.
     """
     n = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = durable(docs.select("doc_id", n.alias("n_tokens")).withColumn("length", rounded(F.col("n_tokens"))))
+    sized = durable(docs.select("doc_id", n.alias("n_tokens")).withColumn("length", F.greatest("n_tokens", F.lit(1))))
     histogram = sorted((r.length, r["count"]) for r in sized.groupBy("length").count().collect())
     bounds = optimal_buckets([v for v, _ in histogram], [c for _, c in histogram], buckets) or [1]
     chunks = max(1, -(-sum(c for _, c in histogram) // rows_per_chunk))

@@ -232,6 +232,14 @@ def test_padding_of_documents_is_minimal(spark, sf_dir):
         assert sum(r.padding for r in got) <= best * 1.02  # lengths over 4096 are rounded in the histogram
 
 
+def test_padding_of_long_documents_is_minimal(spark):
+    lengths = [4097, 4100, 4100, 4159, 5001, 5003, 9001, 9100, 20020]
+    got = packing.pack(spark.createDataFrame([(i, "w " * n) for i, n in enumerate(lengths)], SCHEMA), buckets=3).collect()
+    x = sorted(set(lengths))
+    best = min(sum(min(b for b in (*p, x[-1]) if b >= v) - v for v in lengths) for p in itertools.combinations(x[:-1], 2))
+    assert sum(r.padding for r in got) == best and max(r.bucket_length for r in got) == 20020
+
+
 # ---- language model
 
 
