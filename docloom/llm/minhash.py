@@ -80,7 +80,7 @@ def _features(k: int):
                     node[full] = set_id(h, o[full], n[full])
                     for d, b in zip(full, bands(sigs)):
                         keys[d] = b.view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(node.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "node", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(n, pa.int64()), pa.array(node.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "text_hash", "n_shingles", "node", "keys"])
 
     return run
 
@@ -175,6 +175,7 @@ def _blocks(num: int, den: int, miss: float):
         cluster, part, i = (table[c].to_numpy() for c in ("cluster", "part", "i"))
         j = table["j"].to_numpy()
         raw = table["members"].to_pylist()
+        name = [table["name"].combine_chunks().field(k) for k in range(3)]
         a, b = [], []
         order = np.argsort(cluster, kind="stable")
         cut = np.flatnonzero(np.concatenate(([True], np.diff(cluster[order]) != 0, [True])))
@@ -188,34 +189,34 @@ def _blocks(num: int, den: int, miss: float):
             else:
                 side = part[rows] == i[rows]
                 found = links_within(sets, at[side], at[~side], num, den, miss)
-            a += [node[rows[x]] for x, _ in found]
-            b += [node[rows[y]] for _, y in found]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            a += [rows[x] for x, _ in found]
+            b += [rows[y] for _, y in found]
+        return pa.table({n: pa.StructArray.from_arrays([f.take(pa.array(at, pa.int64())) for f in name], ["none", "label", "node"]) for n, at in (("a", a), ("b", b))})
 
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1e-6, block: int = 1024) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of docs (doc_id long, text string).
+_NAME = "struct<none: boolean, label: bigint, node: bigint>"
 
-    Links are exact: 100 * intersection >= percent * union of the documents' sets of distinct word
-    shingles. component_id is the smallest doc_id reachable over links, itself included.
-    Null and empty texts, and texts without words, have an empty set and no links. Rows that share
-    a doc_id are separate documents. A row with null doc_id takes part; a component of such rows
-    only has a null component_id and keeps all of them. Columns other than doc_id and text are not read.
-    """
-    pair = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    feats = durable(pair.mapInArrow(_features(shingle), "doc_id long, n_shingles long, node long, keys array<long>"))
-    classes = feats.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("label"), F.first("keys").alias("keys"))
+
+def _found(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1e-6, block: int = 1024) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) for every row of docs, see near_duplicates()."""
+    pair = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    feats = durable(pair.mapInArrow(_features(shingle), "doc_id long, text_hash long, n_shingles long, node long, keys array<long>"))
+    full = feats.where("n_shingles > 0")
+    classes = full.groupBy("node").agg(F.min("doc_id").alias("label"), F.first("keys").alias("keys"))
     keyed = classes.select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
     stars = keyed.join(shared, "key").where("a <> node").select("a", F.col("node").alias("b"))
-    clusters = durable(components(stars).withColumnRenamed("root", "cluster"))
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("n")).select("cluster", F.ceil(F.col("n") / block).cast("int").alias("chunks"))
-    bins = max(1, clusters.count() // 512)
-    named = classes.select("node", "label").join(clusters, "node").select(F.col("label").alias("doc_id"))
-    texts = pair.join(named.distinct(), pair.doc_id.eqNullSafe(named.doc_id), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets(shingle), "node long, members binary").dropDuplicates(["node"]).join(clusters, "node").join(sizes, "cluster")
+    clusters = components(stars).withColumnRenamed("root", "cluster")
+    # a class goes by the least doc_id in it, so that the least name that it reaches names the component
+    name = F.struct(F.col("label").isNull().alias("none"), "label", "node")
+    named = durable(classes.select("node", "label").join(clusters, "node").select("node", "label", name.alias("name"), "cluster"))
+    sizes = named.groupBy("cluster").agg(F.count("*").alias("n")).select("cluster", F.ceil(F.col("n") / block).cast("int").alias("chunks"))
+    bins = max(1, named.count() // 512)
+    some = named.select(F.col("label").alias("doc_id")).distinct()
+    texts = pair.join(some, pair.doc_id.eqNullSafe(some.doc_id), "left_semi").select("text")
+    sets = texts.mapInArrow(_sets(shingle), "node long, members binary").dropDuplicates(["node"]).join(named.drop("label"), "node").join(sizes, "cluster")
     part = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     many = F.col("chunks") > 1
     blocks = (
@@ -224,24 +225,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
         .withColumn("i", F.least("part", "other"))
         .withColumn("j", F.greatest("part", "other"))
         .withColumn("grp", F.when(many, F.xxhash64("cluster", "i", "j")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins))))
-        .select("grp", "node", "cluster", "part", "i", "j", "members")
+        .select("grp", "node", "name", "cluster", "part", "i", "j", "members")
     )
-    links = blocks.groupBy("grp", F.when(F.col("i") == F.col("j"), 0).otherwise(1).alias("kind")).applyInArrow(_blocks(percent, 100, miss), "a long, b long")
-    comp = components(links)
-    root = classes.select("node", "label").join(comp, "node", "left").select("node", "label", F.coalesce("root", "node").alias("root"))
-    least = root.groupBy("root").agg(F.min("label").alias("component"))
-    final = root.join(least, "root").select("node", "component")
-    out = feats.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")).join(final, "node", "left")
-    cid = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", cid.alias("component_id"), F.col("doc_id").eqNullSafe(cid).alias("kept"))
+    links = blocks.groupBy("grp", F.when(F.col("i") == F.col("j"), 0).otherwise(1).alias("kind")).applyInArrow(_blocks(percent, 100, miss), f"a {_NAME}, b {_NAME}")
+    least = components(links).select(F.col("node.node").alias("node"), F.col("root.label").alias("least"), F.lit(True).alias("linked"))
+    final = durable(classes.select("node", "label").join(least, "node", "left").select("node", F.when(F.col("linked"), F.col("least")).otherwise(F.col("label")).alias("component")))
+    # one row for each class on the right, so that adaptive execution can split a class of many copies
+    out = full.select("doc_id", "text_hash", "n_shingles", "node").join(final, "node", "left").drop("node")
+    out = out.unionByName(feats.where("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component")))
+    return out.select("doc_id", "text_hash", "n_shingles", F.col("component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of docs (doc_id long, text string).
+
+    Options: shingle (5 words), percent (80), miss (1e-6), block (1024 sets). Links are exact:
+    100 * intersection >= percent * union of the documents' sets of distinct word shingles.
+    component_id is the smallest doc_id reachable over links, itself included.
+    Null and empty texts, and texts without words, have an empty set and no links. Rows that share
+    a doc_id are separate documents. A row with null doc_id takes part; a component of such rows
+    only has a null component_id and keeps all of them. Columns other than doc_id and text are not read.
+    """
+    return _found(docs, **options).drop("text_hash")
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """docs without the rows whose component of near duplicates keeps another row.
+    """docs without the rows whose component of near duplicates keeps another doc_id.
 
-    One row of each component stays, the one with the smallest doc_id; rows with null doc_id stay.
-    Among rows of one doc_id, texts decide nothing: all rows of a kept doc_id stay.
+    The rows of each component that have its smallest doc_id stay: one, unless several rows of that
+    doc_id are alike. Rows are told apart by doc_id and text: of a doc_id with several texts, only those
+    go whose own component keeps another doc_id. Rows with null doc_id go if their component has a doc_id.
     """
-    found = near_duplicates(docs, **options)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(internal(docs, "_gone"))).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(gone.columns[0]), "left_anti")
+    d, t = internal(docs, "_gone_doc"), internal(docs, "_gone_text")
+    gone = _found(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias(d), F.col("text_hash").alias(t)).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64(F.col("text").cast("string")) == F.col(t)), "left_anti")
