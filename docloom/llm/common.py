@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
+import re
 import tempfile
+from array import array
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +18,70 @@ def durable(df: DataFrame) -> DataFrame:
     """df, computed and written to the shared folder that spark.checkpoint.dir names.
 
     Its lineage ends there, so that a lost executor costs no recomputation. A folder of our
-    own is used only where the session names none, as in tests on one machine.
+    own is used only where the session names none and runs on one machine, as in tests; on a
+    cluster a session that names none is an error.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docloom-"))
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="docloom-"))
     return df.checkpoint(eager=True)
 
 
+def fitted(rows: DataFrame, order: list[str], train: Callable[[Iterator[pa.RecordBatch]], object]) -> object:
+    """What `train` makes of the rows, a bounded sample, in one task of an executor: the driver gets the model only.
+
+    train is given the rows in the stated order, batch by batch, and returns what can be pickled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(batches))], pa.binary())], ["model"])
+
+    got = rows.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").collect()
+    return pickle.loads(bytes(got[0].model)) if got else train(iter(()))
+
+
+def sampled(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(_id, ..., text): the texts of the documents that ids (_id, ..., a bounded number of distinct rows) names.
+
+    Of rows that share a doc_id the least text stands for all, so that a sample is the same in every run.
+    """
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    return found.groupBy(*ids.columns).agg(F.min("text").alias("text"))
+
+
+class Bags:
+    """Many arrays end to end in one growing buffer for each kind, so that their memory goes back when they do."""
+
+    def __init__(self, **kinds: str):
+        self.parts = {n: array(k) for n, k in kinds.items()}
+        self.at = [0]
+
+    def add(self, **values: np.ndarray) -> None:
+        for n, part in self.parts.items():
+            part.frombytes(np.ascontiguousarray(values[n], np.dtype(part.typecode)).tobytes())
+        self.at.append(len(part))
+
+    def views(self, name: str) -> list[np.ndarray]:
+        part = self.parts[name]
+        flat = np.frombuffer(part, np.dtype(part.typecode)) if len(part) else np.empty(0, part.typecode)
+        return [flat[a:b] for a, b in zip(self.at, self.at[1:])]
+
+
+def within(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[dict]:
+    """The rows of the batches as dicts, but those whose text would bring the texts so far to more than `most` bytes."""
+    used = 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            n = len((row["text"] or "").encode("utf-8", "surrogatepass"))
+            if used + n <= most:
+                used += n
+                yield row
+
+
 def width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -38,8 +99,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of the undirected graph of edges (a, b): root is the smallest node reachable.
 
     Alternating min-label propagation and pointer jumping; a round costs shuffles of the edges
-    only, and each is checkpointed. Hot nodes are combined by min() before they are shuffled,
-    and the joins on them are ordinary ones that adaptive execution may split.
+    only, and each is checkpointed. Nodes may be of any type that has an order. Hot nodes are combined by
+    min() before they are shuffled. The joins by b and by root, on which a hub is hot, have an unaggregated
+    shuffle on that side, so adaptive execution can split it; the join by node has one row for each node.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = durable(both.where("a <> b").distinct())

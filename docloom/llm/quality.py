@@ -1,16 +1,18 @@
 """Document quality by supervised subword embeddings.
 
-A document is the sum of the averages of the learned vectors of its hashed words, of its hashed byte
-n-grams of each order, and of its word pairs reduced to whether the second repeats the first; a
-linear softmax layer over it gives the class probabilities. Vectors and layer are trained
-together by stochastic gradient descent in numpy, on the driver, over at most `sample_rows` labelled
-documents. Scoring is distributed: since averaging and the layer are both linear, each bucket's
-vector is reduced to its contribution to the logit, a table of fixed size that is broadcast.
+A document is the sum of the averages of the learned vectors of its hashed words and of its hashed
+character n-grams of each order; a linear softmax layer over it gives the class probabilities. One group
+more is no subword: two learned vectors say of each word whether it repeats the one before it. Averages
+of words and n-grams can't tell a text of words said over and over (see README for figures).
+Vectors and layer are trained together by stochastic gradient descent in numpy, in one task, over at
+most `sample_rows` labelled documents of `sample_bytes` bytes together.
+Scoring is distributed: since averaging and the layer are both linear, each bucket's vector is reduced
+to its contribution to the logit, a table of fixed size that is broadcast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytecode as B
-from .common import internal
+from .common import Bags, fitted, internal, sampled, within
 
 BITS, GRAMS = 16, (2, 3, 4)
 _SIZE = 1 << BITS
 
 
 def features(buf: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For words, repetitions and each order of n-grams: bucket numbers by position and the documents' offsets in them."""
+    """For words, repetitions and each order of character n-grams: bucket numbers by position and the documents' offsets in them."""
     if not len(buf):
         return
     p = B.prefix(buf)
@@ -36,36 +38,39 @@ def features(buf: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, np
     again[1:] += word[1:] == word[:-1]
     again[first[:-1][first[:-1] < len(again)]] = _SIZE
     yield again, first
-    stop = np.repeat(offs[1:], np.diff(offs))
+    char = np.flatnonzero((buf & 0xC0) != 0x80)  # where characters start
+    ends = np.append(char, len(buf))
+    stop = np.repeat(offs[1:], np.diff(offs))[char]
     for k, n in enumerate(GRAMS, 2):
-        h = B.gram_hash(p, n)
-        ok = stop[: len(h)] - np.arange(len(h)) >= n
-        at = np.concatenate(([0], np.cumsum(ok)))
-        yield (h[ok] >> B.U(64 - BITS)).astype(np.int32) + k * _SIZE, at[np.minimum(offs, len(h))]
+        s, e = char[: max(0, len(char) - n + 1)], ends[n:]
+        ok = e <= stop[: len(s)]
+        s, e = s[ok], e[ok]
+        yield (B.span_hash(p, s, e) >> B.U(64 - BITS)).astype(np.int32) + k * _SIZE, np.searchsorted(s, offs)
 
 
-def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Each text's distinct buckets with their shares of their groups."""
-    out = []
-    for t in texts:
-        buf, offs = B.flat(pa.array([t or ""], pa.large_string()))
-        groups = [np.unique(i, return_counts=True) for i, _ in features(buf, offs) if len(i)] or [(np.empty(0, np.int32), np.empty(0))]
-        out.append((np.concatenate([u for u, _ in groups]), np.concatenate([n / max(1, n.sum()) for _, n in groups]).astype(np.float32)))
-    return out
+def _bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """A text's distinct buckets with their shares of their groups."""
+    buf, offs = B.flat(pa.array([text or ""], pa.large_string()))
+    groups = [np.unique(i, return_counts=True) for i, _ in features(buf, offs) if len(i)] or [(np.empty(0, np.int32), np.empty(0))]
+    return np.concatenate([u for u, _ in groups]), np.concatenate([n / max(1, n.sum()) for _, n in groups]).astype(np.float32)
 
 
-def train(texts: list[str], labels: list[int], dim: int = 12, epochs: int = 12, rate: float = 0.35, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: Iterable[str | None], labels: list[int], dim: int = 12, epochs: int = 8, rate: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float]:
     """Bucket contributions to the logit of label 1, and its bias.
 
     Plain SGD with each coordinate's rate divided by the root of its squared gradients so far.
     With one class only, or no rows, the contributions are 0 and the bias follows the labels.
     """
+    held = Bags(ids="i", share="f")
+    for t in texts:
+        ids, share = _bag(t)
+        held.add(ids=ids, share=share)
+    bags = list(zip(held.views("ids"), held.views("share")))
     y = np.array(labels, np.int64)
     n_features = _SIZE * (2 + len(GRAMS))
     if not len(y) or y.min() == y.max():
         return np.zeros(n_features, np.float32), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
     rng = np.random.Generator(np.random.PCG64(seed))
-    bags = _bags(texts)
     emb = rng.normal(0, 0.3, (n_features, dim)).astype(np.float32)
     out = rng.normal(0, 0.3, (dim, 2)).astype(np.float32)
     bias = np.log(np.bincount(y, minlength=2) / len(y)).astype(np.float32)
@@ -107,13 +112,26 @@ def _scorer(model):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", sample_rows: int = 6000) -> tuple[np.ndarray, float]:
-    """A model from at most `sample_rows` labelled rows where train_on holds: those of least hash, whole texts."""
-    ids = labels.where(f"({train_on}) and {label} is not null").select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
-    ids = ids.orderBy(F.xxhash64("_id"), "_y").limit(sample_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("_id", "_y", "text").limit(2 * sample_rows).collect()
-    rows.sort(key=lambda r: (r._id, r._y, r.text or ""))
-    return train([r.text for r in rows], [r._y for r in rows])
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", sample_rows: int = 6000, sample_bytes: int = 32 << 20) -> tuple[np.ndarray, float]:
+    """A model from labelled rows where train_on holds, whole texts; rows whose label is null teach nothing.
+
+    Of those rows the sample_rows of least hash are taken, in that order, and of these all but such as
+    would bring the texts to more than sample_bytes. Labels that name one doc_id twice count as two.
+    """
+    ids = labels.where(f"({train_on}) and {label} is not null").select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"), F.xxhash64("doc_id").alias("_h"))
+    ids = ids.orderBy("_h", "_id", "_y").limit(sample_rows).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, float]:
+        y: list[int] = []
+
+        def texts() -> Iterator[str | None]:
+            for row in within(batches, sample_bytes):
+                y.append(row["_y"])
+                yield row["text"]
+
+        return train(texts(), y)
+
+    return fitted(sampled(docs, ids), ["_h", "_id", "_y"], run)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score") -> DataFrame:
