@@ -4,20 +4,22 @@ All 100-byte strings of the corpus are dealt to buckets by content: a string bel
 of its least k-gram, so equal strings meet without a global suffix sort. The strings around one
 occurrence of a least k-gram overlap and travel as one segment.
 
-1. Blocks of documents send the hashes of their distinct segments to the buckets.
-2. A bucket answers each block: segments whose k-gram occurs nowhere else need nothing; of segments
-   that are equal throughout, all but the first are repeats; for the others it asks for the bytes.
+1. Blocks of documents send the hashes of their distinct segments to the buckets. What repeats an earlier
+   segment of its own block throughout is compared with it byte by byte and need not be sent.
+2. A bucket answers each block: segments whose k-gram occurs nowhere else need nothing; for all others
+   it asks for the bytes. These hashes only route: they decide of no repeat.
 3. There the bytes are cut into shards. Each shard's transform is built on its own; then the shards
    are merged by iterative interleave refinement (Holt & McMillan 2014): every round sorts stably by
    the next transform symbol and so lengthens the known common prefix of all neighbours by one
    symbol, without comparing or sorting suffixes again. Neighbours that are not told apart after
-   the last round share 100 bytes: they are the repeated intervals.
+   the last round share 100 bytes: they are the repeated intervals, whole equal segments included.
 4. The answers return to the blocks, which cut the covered bytes out of their documents.
 
 Symbols are 20-byte grams, each segment giving 20 phases, so that five rounds reach 100 bytes.
 What blocks send is distinct within the block, so that a passage in a third of all documents costs
-one row a block; a k-gram with more than `hot` different segments is dealt out anew by the content
-of each 100-byte string, which no single passage can crowd.
+one row a block. Only a k-gram with more than `hot` segments would crowd its bucket: if they are all
+equal, their 64-bit content hashes decide, else they are dealt out anew by the content of each
+100-byte string, and two 64-bit hashes decide.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ def segments(buf: np.ndarray, offs: np.ndarray, span: int = SPAN, k: int = GRAM)
     """
     n = len(buf)
     out = []
-    stop = np.repeat(offs[1:], np.diff(offs))
+    stop = np.repeat(offs[1:].astype(np.int32), np.diff(offs))
     for a in range(0, n - span + 1, _STEP):
         b = buf[a : a + _STEP + span - 1]
         p = B.prefix(b)
@@ -81,14 +83,29 @@ class Block:
         self.start, self.end, self.h, c = segments(self.buf, self.offs)
         key = B.mix(self.h ^ (c << B.U(1)))
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        by = np.sort(first)
-        self.again = np.ones(len(key), bool)
-        self.again[by] = False
+        self.again = np.zeros(len(key), bool)
+        self.again[self._equal(np.setdiff1d(np.arange(len(key)), first), first, inverse)] = True
+        by = np.flatnonzero(~self.again)
         bucket = ((self.h[by] >> B.U(20)) % B.U(buckets)).astype(np.int64)
         by = by[np.argsort(bucket, kind="stable")]
         self.entry, self.c = by, c
         self.at = np.searchsorted(np.sort(bucket), np.arange(buckets + 1))
 
+    def _equal(self, e: np.ndarray, first: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+        """Those of the segments e that equal the first one of their key byte by byte."""
+        lead = first[inverse[e]]
+        size = self.end[e] - self.start[e]
+        ok = size == self.end[lead] - self.start[lead]
+        e, lead, size = e[ok], lead[ok], size[ok] + SPAN - 1
+        out = []
+        for i in range(0, len(e), 4096):
+            n = size[i : i + 4096]
+            at = np.cumsum(n) - n
+            off = np.arange(n.sum()) - np.repeat(at, n)
+            same = self.buf[np.repeat(self.start[e[i : i + 4096]], n) + off] == self.buf[np.repeat(self.start[lead[i : i + 4096]], n) + off]
+            out.append(e[i : i + 4096][np.logical_and.reduceat(same, at)])
+        return np.concatenate([*out, np.empty(0, np.int64)])
+
     def doc(self, entry: np.ndarray) -> np.ndarray:
         return self.ids[np.searchsorted(self.offs, self.start[entry], "right") - 1]
 
@@ -129,9 +146,9 @@ def _answer(hot: int):
             size = np.diff(np.append(first, len(hs)))
             same = np.minimum.reduceat(c[order], first) == np.maximum.reduceat(c[order], first)
             lowest = np.minimum.reduceat(doc[order], first)
-            gone = np.repeat(same, size) & (doc[order] != np.repeat(lowest, size))
+            gone = np.repeat(same & (size > hot), size) & (doc[order] != np.repeat(lowest, size))
             deal = np.repeat(~same & (size > hot), size)
-            ask = np.repeat(~same & (size <= hot), size)
+            ask = np.repeat(size <= hot, size)
             bucket, block = table["bucket"][0].as_py(), table["block"].to_pylist()
             picks = []
             for m in (gone, ask, deal):
@@ -318,20 +335,15 @@ def _resolve(batch_bytes: int):
             body = np.frombuffer(b"".join(t["body"].to_pylist()), np.uint8)
             length = size + SPAN - 1
             at = np.cumsum(length) - length
-            order = np.lexsort((idx, doc, c, h))  # equal segments together, the first of them first
-            hs, cs = h[order], c[order]
-            lead = np.concatenate(([True], (hs[1:] != hs[:-1]) | (cs[1:] != cs[:-1])))
+            order = np.lexsort((idx, doc, h))
             rank = np.empty(len(order), np.int64)
             rank[np.lexsort((idx, doc))] = np.arange(len(order))
             masks = [None] * len(order)
-            for e in order[~lead]:
-                masks[e] = np.ones(size[e], bool)
-            lead = order[lead]
-            hs, used, s = h[lead], np.cumsum(length[lead]), 0
-            while s < len(lead):  # whole k-grams, of about so many bytes
+            hs, used, s = h[order], np.cumsum(length[order]), 0
+            while s < len(order):  # whole k-grams, of about so many bytes
                 e = max(s + 1, int(np.searchsorted(used, (used[s - 1] if s else 0) + batch_bytes, "right")))
                 e = int(np.searchsorted(hs, hs[e - 1], "right"))
-                some = np.sort(lead[s:e])
+                some = np.sort(order[s:e])
                 text = np.concatenate([body[at[x] : at[x] + length[x]] for x in some])
                 for x, m in zip(some, np.split(repeats(text, size[some], rank[some]), np.cumsum(size[some])[:-1])):
                     masks[x] = m
@@ -360,7 +372,7 @@ def _resolve(batch_bytes: int):
 
 def covered(x: Block, verdicts: pa.Table) -> np.ndarray:
     """Which bytes of the block go."""
-    cover = np.zeros(len(x.buf) + 1, np.int64)
+    cover = np.zeros(len(x.buf) + 1, np.int32)
 
     def windows(s, e):
         np.add.at(cover, s, 1)
@@ -381,7 +393,8 @@ def covered(x: Block, verdicts: pa.Table) -> np.ndarray:
             off = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             s = (np.repeat(x.start[e], size) + off)[np.unpackbits(np.frombuffer(mask, np.uint8), count=int(size.sum())).astype(bool)]
             windows(s, s + 1)
-    return np.cumsum(cover[:-1]) > 0
+    np.cumsum(cover, out=cover)
+    return cover[:-1] > 0
 
 
 def _cut(id_col, text_col, block_col, buckets, columns, with_text):
@@ -395,9 +408,9 @@ def _cut(id_col, text_col, block_col, buckets, columns, with_text):
         run_start[1:] &= ~gap[:-1]
         inner = x.offs[:-1][x.offs[:-1] < len(gone)]
         run_start[inner] = gap[inner]
-        c1, c2 = (np.concatenate(([0], np.cumsum(v))) for v in (gap, run_start))
+        c1, c2 = (np.concatenate(([0], np.cumsum(v, dtype=np.int32))) for v in (gap, run_start))
         kept = x.buf[~gone].tobytes()
-        ends = np.concatenate(([0], np.cumsum(~gone)))[x.offs]
+        ends = x.offs - c1[x.offs]
         parts = [kept[i:j] for i, j in zip(ends, ends[1:])]
         out = {c: x.table[c] for c in columns}
         out["n_bytes"] = pa.array(np.diff(x.offs), pa.int64())
@@ -411,7 +424,7 @@ def _cut(id_col, text_col, block_col, buckets, columns, with_text):
     return run
 
 
-def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False, block_bytes: int = 4 << 20, hot: int = 20_000, batch_bytes: int = 1 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False, block_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20, hot: int = 20_000, batch_bytes: int = 1 << 19) -> DataFrame:
     """Cut every byte covered by a 100-byte string that also starts earlier in the corpus.
 
     docs has doc_id (integer) and text (string, as UTF-8 bytes); null and empty texts have no bytes.
@@ -430,7 +443,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), with_te
     block_col = internal(d, "_block")
     n_bytes = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = width(spark)
-    blocks, buckets = max(-(-n_bytes // block_bytes), 2 * n), 2 * n
+    blocks, buckets = max(-(-n_bytes // block_bytes), 2 * n), max(-(-n_bytes // bucket_bytes), 2 * n)
     d = d.withColumn(block_col, F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).repartition(block_col)
     names = ("doc_id", "text", block_col, buckets)
     sent = d.groupBy(block_col).applyInArrow(_send(*names), "bucket int, block long, h binary, c binary, doc binary")
