@@ -3,13 +3,13 @@
 The categories are predicted one after another. Each is a linear (logistic) model over the presence
 of hashed words and stems and the log-odds of the categories before it. For training, those earlier
 probabilities are out-of-fold predictions, so that a later model sees them as noisy as they will be
-on new documents. Models are trained in numpy by SGD on at most `sample_rows` labelled documents
-and have a fixed size; scoring is distributed over whole texts.
+on new documents. Models are trained in numpy by SGD, in one task, on at most `sample_rows` labelled
+documents and have a fixed size; scoring is distributed over whole texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytecode as B
+from .common import Bags, fitted, sampled, within
 
 BITS = 18
 #: Besides whole words, their first so many bytes, since inflected words share a stem.
@@ -90,13 +91,14 @@ class Chain:
         self.names = names
         self.models: list[tuple[np.ndarray, np.ndarray, float]] = []
 
-    def fit(self, texts: list[str], y: np.ndarray, folds: int = 5) -> Chain:
-        """y: 0/1, a row for each text and a column for each category."""
-        buf, offs = B.flat(pa.array([t or "" for t in texts], pa.large_string()))
-        x: list[np.ndarray] = []
-        for i, j in B.pieces(offs):  # the hashing of all texts at once would take a hundred times their size
-            ids, at = bags(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-            x += [ids[a:b].astype(np.int32) for a, b in zip(at, at[1:])]
+    def fit(self, texts: Iterable[str | None], y: np.ndarray, folds: int = 5) -> Chain:
+        """y: 0/1, a row for each text and a column for each category; or what makes it once the texts are read."""
+        # text by text: the hashing of all texts at once would take a hundred times their size
+        held = Bags(ids="i")
+        for t in texts:
+            held.add(ids=bags(*B.flat(pa.array([t or ""], pa.large_string())))[0])
+        x = held.views("ids")
+        y = y() if callable(y) else y
         fold = np.arange(len(x)) % folds
         earlier = np.zeros((len(x), 0))
         for k in range(len(self.names)):
@@ -135,20 +137,31 @@ def _scorer(model):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", sample_rows: int = 6000) -> Chain:
-    """A chain over `categories` (name: SQL condition over labels, in chain order).
+def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", sample_rows: int = 6000, sample_bytes: int = 32 << 20) -> Chain:
+    """A chain over `categories` (name: SQL condition over labels, in chain order); a condition that is null counts as false.
 
-    It learns from at most sample_rows labelled rows where train_on holds, those of least hash.
+    Of the labelled rows where train_on holds the sample_rows of least hash are taken, in that order, and
+    of these all but such as would bring the texts to more than sample_bytes.
     """
     cols = [F.coalesce(F.expr(e), F.lit(False)).cast("int").alias(f"_y{k}") for k, e in enumerate(categories.values())]
-    ids = labels.where(train_on).select(F.col("doc_id").alias("_id"), *cols).orderBy(F.xxhash64("_id"), *(f"_y{k}" for k in range(len(cols)))).limit(sample_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("_id", "text", *ids.columns[1:]).limit(2 * sample_rows).collect()
-    rows.sort(key=lambda r: (r._id, tuple(r[2:]), r.text or ""))
-    y = np.array([[r[f"_y{k}"] for k in range(len(cols))] for r in rows], np.float64).reshape(len(rows), len(cols))
-    return Chain(list(categories)).fit([r.text for r in rows], y)
+    by = [f"_y{k}" for k in range(len(cols))]
+    ids = labels.where(train_on).select(F.col("doc_id").alias("_id"), *cols, F.xxhash64("doc_id").alias("_h")).orderBy("_h", "_id", *by).limit(sample_rows).distinct()
+    names = list(categories)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Chain:
+        y: list[list[int]] = []
 
-def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, str] | None = None, threshold: float = 0.5, **options) -> DataFrame:
+        def texts() -> Iterator[str | None]:
+            for row in within(batches, sample_bytes):
+                y.append([row[c] for c in by])
+                yield row["text"]
+
+        return Chain(names).fit(texts(), lambda: np.array(y, np.float64).reshape(len(y), len(by)))
+
+    return fitted(sampled(docs, ids), ["_h", "_id", *by], run)
+
+
+def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, str] | None = None, threshold: float = 0.3, **options) -> DataFrame:
     """(doc_id, held_out, p_<category> ..., score, toxic) for every row of docs, over whole texts.
 
     By default the chain is low_quality, then toxic. score is the last category's probability, toxic
