@@ -1,6 +1,6 @@
 """Language of documents by a linear-chain conditional random field over their words.
 
-Every word is labelled with a language from its affixes, its byte n-grams and a lexicon of training
+Every word is labelled with a language from its affixes, its character n-grams and a lexicon of training
 words, and from learned transitions between the labels of neighbours, by forward-backward. A
 document's language is the one with the largest sum of word posteriors; its score is that share.
 The field is trained in numpy on bounded samples of each language, whose documents are cut into
@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytecode as B
+from .common import fitted, sampled, within
 
 BITS = 17
 _SIZE = 1 << BITS
@@ -34,21 +35,27 @@ def _bucket(h: np.ndarray, salt: int) -> np.ndarray:
     return (B.mix(h + B.U(salt)) >> B.U(64 - BITS)).astype(np.int64)
 
 
-def word_features(p: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Feature buckets of the words [s, e) of the buffer behind prefix() p, and the words' offsets in them."""
+def characters(buf: np.ndarray) -> np.ndarray:
+    """Where the characters of the UTF-8 buffer start, and its end."""
+    return np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
+
+
+def word_features(p: np.ndarray, char: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature buckets of the words [s, e) of the buffer behind prefix() p and characters() char, and the words' offsets in them."""
     ids, owner = [], []
     at = np.arange(len(s))
+    cs, ce = np.searchsorted(char, s), np.searchsorted(char, e)
     for k in AFFIXES:
-        long = np.flatnonzero(e - s >= k)
-        ids += [_bucket(B.span_hash(p, s[long], s[long] + k), 11), _bucket(B.span_hash(p, e[long] - k, e[long]), 12)]
+        long = np.flatnonzero(ce - cs >= k)
+        ids += [_bucket(B.span_hash(p, s[long], char[cs[long] + k]), 11), _bucket(B.span_hash(p, char[ce[long] - k], e[long]), 12)]
         owner += [long, long]
     ids.append(_bucket(B.span_hash(p, s, e), 13))  # the lexicon
     owner.append(at)
     for k in GRAMS:
-        n = np.maximum(e - s - k + 1, 0)
+        n = np.maximum(ce - cs - k + 1, 0)
         w = np.repeat(at, n)
-        start = np.repeat(s, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        ids.append(_bucket(B.span_hash(p, start, start + k), 14))
+        start = np.repeat(cs, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        ids.append(_bucket(B.span_hash(p, char[start], char[start + k]), 14))
         owner.append(w)
     ids, owner = np.concatenate(ids), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
@@ -132,7 +139,7 @@ def train(texts: list[str], labels: list[str], epochs: int = 3, rate: float = 0.
     buf, offs = B.flat(pa.array([t or "" for t in texts], pa.large_string()))
     low = B.LOWER[buf]
     s, e, first = B.words(low, offs, _GAPS)
-    p = B.prefix(low)
+    p, char = B.prefix(low), characters(low)
     y = np.repeat(np.array([names.index(x) for x in labels]), np.diff(first))
     # stretches of 5 to 60 words of one document, in random order; 1 to 12 of them make a sequence
     cuts, docs = [], np.repeat(np.arange(len(texts)), np.diff(first))
@@ -150,7 +157,7 @@ def train(texts: list[str], labels: list[str], epochs: int = 3, rate: float = 0.
             start = np.zeros(len(w), bool)
             ends = np.cumsum([0, *(len(x) for x in part)])[:-1]
             start[ends[np.cumsum(rng.integers(1, 13, len(ends))) % len(ends)]] = start[0] = True
-            ids, off = word_features(p, s[w], e[w])
+            ids, off = word_features(p, char, s[w], e[w])
             post, pairs = field.marginals(field.emissions(ids, off), start)
             gold = np.zeros_like(post)
             gold[np.arange(len(w)), y[w]] = 1
@@ -197,7 +204,7 @@ def identify(field: Field, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarra
     p = B.prefix(low)
     h = B.span_hash(p, s, e)
     _, at, inv = np.unique(h, return_index=True, return_inverse=True)
-    ids, off = word_features(p, s[at], e[at])
+    ids, off = word_features(p, characters(low), s[at], e[at])
     emit = field.emissions(ids, off)[inv]
     start = np.zeros(len(s), bool)
     full = np.flatnonzero(np.diff(first))
@@ -213,19 +220,24 @@ def identify(field: Field, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarra
     return best, share
 
 
-def fit(docs: DataFrame, train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", rows_per_language: int = 400) -> Field:
-    """A field from at most rows_per_language whole texts of each non-null lang where train_on holds, those of least hash."""
+def fit(docs: DataFrame, train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", rows_per_language: int = 400, sample_bytes: int = 16 << 20) -> Field:
+    """A field from whole texts of each non-null lang where train_on holds; null texts teach nothing.
+
+    Of each language the rows_per_language rows of least hash are taken, and of all these, in that order,
+    all but such as would bring the texts to more than sample_bytes. One scan ranks all languages: each
+    task passes on no more than it needs of each.
+    """
     rows = docs.select("doc_id", "lang", "text").where(f"({train_on}) and lang is not null and text is not null")
-    names = [r.lang for r in rows.select("lang").distinct().collect()]
-    ids = None
-    for name in names:
-        one = rows.where(F.col("lang") == name).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).orderBy(F.xxhash64("_id")).limit(rows_per_language)
-        ids = one if ids is None else ids.unionByName(one)
-    if ids is None:
-        return train([], [])
-    got = rows.join(F.broadcast(ids), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("doc_id", "lang", "text").limit(2 * rows_per_language * len(names)).collect()
-    got.sort(key=lambda r: (r.doc_id, r.lang, r.text))
-    return train([r.text for r in got], [r.lang for r in got])
+    keyed = rows.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64("doc_id").alias("_h"))
+    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_id")))
+    ids = ranked.where(F.col("_rank") <= rows_per_language).select("_id", "_lang", "_h").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Field:
+        got = list(within(batches, sample_bytes))
+        return train([r["text"] for r in got], [r["_lang"] for r in got])
+
+    found = sampled(rows.withColumn("doc_id", F.struct("doc_id", "lang")), ids.withColumn("_id", F.struct(F.col("_id").alias("doc_id"), F.col("_lang").alias("lang"))))
+    return fitted(found.withColumn("_id", F.col("_id.doc_id")), ["_h", "_id", "_lang"], run)
 
 
 def classify(docs: DataFrame, **options) -> DataFrame:
