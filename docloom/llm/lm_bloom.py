@@ -7,9 +7,12 @@ until a level is missing, and the probability is smoothed with the exact unigram
 
     P(v | u) = (count(u, v) + alpha * P(v)) / (count(u) + alpha)
 
+count(u, v) is the least count of the bigram's level, so that the counts of a context sum to count(u) at
+most and its probabilities to 1 at most, but for the filter's false positives (0.8 % of absent bigrams).
+
 The filter has a slice for each bucket of bigrams, sized by what the bucket holds. If all slices
 exceed `filter_bytes`, the documents are scored in several passes, each with the slices that fit in
-one broadcast: the bound holds at every size and no n-gram is left out.
+one broadcast, one pass after another: the bound holds at every size and no n-gram is left out.
 Unigram counts are exact: blocks of documents ask for the counts of their distinct words.
 """
 
@@ -25,8 +28,8 @@ from pyspark.sql import functions as F
 from . import bytecode as B
 from .common import durable, internal, width
 
-#: Probes of a level; the least count that enters the filter.
-HASHES, LEAST = 7, 1
+#: Probes of a level.
+HASHES = 7
 END = B.mix(np.array([0x45AD], np.uint64))[0]
 START = B.mix(np.array([0x57A7], np.uint64))[0]
 _STEP = B.U(0x9E3779B97F4A7C15)
@@ -161,7 +164,7 @@ class Filter:
         self.data = np.frombuffer(b"".join(raw for _, _, raw in slices), np.uint8)
 
     def counts(self, key: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        """Estimated counts: 1.4 times the least count of the level, 0 if no level is found."""
+        """Estimated counts: the least count of the level, 0 if no level is found."""
         level = np.zeros(len(key), np.int64)
         live = np.flatnonzero(self.bits[bucket] > 0)
         key = key & B.U((1 << 48) - 1)
@@ -176,7 +179,7 @@ class Filter:
                 live, x, y, bits, base = live[hit], x[hit], y[hit], bits[hit], base[hit]
             level[live] = step
             step += 1
-        return np.where(level > 0, np.exp2(level - 1) * 1.4, 0.0)
+        return np.where(level > 0, np.exp2(level - 1), 0.0)
 
 
 def _learn(buckets: int):
@@ -276,17 +279,18 @@ def _score(text_col, train_col, buckets, shared, n_tokens: int, n_types: int, al
     return run
 
 
-def score(docs: DataFrame, train: str, keep: tuple[str, ...] = ("doc_id",), alpha: float = 64.0, filter_bytes: int = 64 << 20, block_bytes: int = 4 << 20) -> DataFrame:
+def score(docs: DataFrame, train: str, keep: tuple[str, ...] = ("doc_id",), alpha: float = 64.0, filter_bytes: int = 96 << 20, block_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """Log10 probabilities of every whole text of docs under a model of the rows where `train` holds.
 
-    train is an SQL condition; null counts as false. A-Z is lower-cased; a text's tokens are its words
-    [^\\x20\\x09-\\x0D]+ and one end. Null and empty texts are one end. Returns the columns `keep` of docs,
+    train is an SQL condition; where it is null, a row is neither learned from nor held out. A-Z is lower-cased; a text's tokens
+    are its words [^\\x20\\x09-\\x0D]+ and one end. Null and empty texts are one end. Returns the columns `keep` of docs,
     held_out, n_tokens, n_known (tokens seen in training), train_tokens, base_score (add-0.1 unigrams) and
     score (the smoothed bigram model). Without training tokens every score is that of the empty counts.
     """
     spark = docs.sparkSession
     n = width(spark)
-    buckets = 2 * n
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(-(-size // bucket_bytes), 2 * n)
     keep = tuple(c for c in docs.columns if c in keep)
     known = F.coalesce(F.expr(train), F.lit(False))
     learned = docs.where(known).select(F.col("text").cast("string").alias("text"))
@@ -304,28 +308,32 @@ def score(docs: DataFrame, train: str, keep: tuple[str, ...] = ("doc_id",), alph
         held += size
 
     d = docs.select(*dict.fromkeys((*keep, "doc_id", "text")))
-    block_col, train_col, text_col = (internal(d, x) for x in ("_block", "_train", "_text"))
-    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    block_col, train_col, text_col, held_col = (internal(d, x) for x in ("_block", "_train", "_text", "_held"))
     blocks = max(-(-size // block_bytes), 2 * n)
-    d = docs.select(*keep, F.col("text").cast("string").alias(text_col), known.alias(train_col), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias(block_col)).repartition(block_col)
+    d = docs.select(*keep, F.col("text").cast("string").alias(text_col), known.alias(train_col), F.coalesce(~F.expr(train), F.lit(False)).alias(held_col), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias(block_col)).repartition(block_col)
     asked = d.groupBy(block_col).applyInArrow(_ask(text_col, train_col, block_col, buckets), "bucket int, block long, keys binary, n binary")
     replies = asked.groupBy("bucket").applyInArrow(_reply, "block long, keys binary, total binary")
     kinds = {f.name: f.dataType.simpleString() for f in d.schema.fields}
     row = internal(d, "_row")
     made = ("n_tokens", "n_known", "base_score", "score")
     hash_col = internal(d, "_order") if len(passes) > 1 else None
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in (*keep, train_col)), "n_tokens long, n_known long, base_score double, score double", *([f"`{hash_col}` long"] if hash_col else [])])
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in (*keep, held_col)), "n_tokens long, n_known long, base_score double, score double", *([f"`{hash_col}` long"] if hash_col else [])])
     out = None
     every = {b for b, _ in sizes}
     for k, part in enumerate(passes):
         slices = [(r.bucket, r.x, bytes(r.raw)) for r in model.where((F.col("kind") == 2) & F.col("bucket").isin(part)).sort("bucket").collect()] if part else []
         filt = Filter(slices, buckets)
         filt.missing = np.isin(np.arange(buckets), sorted(every - set(part))) if len(passes) > 1 else None
-        one = d.groupBy(block_col).cogroup(replies.groupBy("block")).applyInArrow(_score(text_col, train_col, buckets, spark.sparkContext.broadcast(filt), int(n_tokens), int(n_types), alpha, [*keep, train_col], k == 0, hash_col), schema)
+        shared = spark.sparkContext.broadcast(filt)
+        del slices, filt
+        one = d.groupBy(block_col).cogroup(replies.groupBy("block")).applyInArrow(_score(text_col, train_col, buckets, shared, int(n_tokens), int(n_types), alpha, [*keep, held_col], k == 0, hash_col), schema)
+        if len(passes) > 1:  # the next pass has its own filter
+            one = durable(one)
+            shared.destroy()
         out = one if out is None else out.unionByName(one)
     if len(passes) > 1:
         # rows that agree in all that is kept and in the sequence of tokens are alike in score too: their parts add up to so many times it
-        by = [*keep, train_col, *made[:2], hash_col]
+        by = [*keep, held_col, *made[:2], hash_col]
         out = out.groupBy(*by).agg(F.min("base_score").alias("base_score"), F.sum("score").alias("score"), F.count("*").alias(row)).withColumn(row, (F.col(row) / len(passes)).cast("int"))
         out = out.withColumn("score", F.col("score") / F.col(row)).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(row)))).drop("_copy", row)
-    return out.select(*(c for c in keep if c not in (*made, "held_out", "train_tokens")), (~F.col(train_col)).alias("held_out"), *made[:2], F.lit(int(n_tokens)).cast("long").alias("train_tokens"), *made[2:])
+    return out.select(*(c for c in keep if c not in (*made, "held_out", "train_tokens")), F.col(held_col).alias("held_out"), *made[:2], F.lit(int(n_tokens)).cast("long").alias("train_tokens"), *made[2:])
