@@ -6,8 +6,8 @@ The SHA-256 of an entire text in that form is looked up among the digests of kno
 hash join. The same is done for single lines against known one-line notices.
 
 The canonical form is a chain of SQL expressions that Spark and DuckDB share (Java and RE2 regular
-expressions agree on them). Since every built-in text contains one of a few words, texts without
-them are not brought to that form unless the caller gives further licences; they can't match.
+expressions agree on them). Every text is brought to that form; of lines, only such as hold the word
+that all notices have.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import durable
+
 _WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 _ISC_TAIL = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
 _BSD_TAIL = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
@@ -49,8 +51,8 @@ NOTICES = {
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0."],
 }
-#: Every known text has one of these, and every notice the first (as does any spelling of it).
-TEXT_WORDS, NOTICE_WORDS = "permission|redistribution|warrant|public domain|licen[cs]", "licen[cs]"
+#: Every notice has this, as does any spelling of it.
+NOTICE_WORDS = "licen[cs]"
 #: Equivalent spellings (regular expression, replacement), applied to canonical text with single spaces.
 SPELLINGS = (
     (r"\b(sub) ?(licen)[cs]", r"\1\2s"),
@@ -98,21 +100,22 @@ def catalog(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFra
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(doc_id, digest, license_id, notice_ids) for every row of docs (doc_id, text).
 
-    digest is that of the entire canonical text, null if the text is null or has none of the words that
-    the built-in texts have; if known is given, null only for a null or empty canonical text. license_id is the licence whose entire text this is, else null; notice_ids
-    lists, in order and joined by commas, the licences of which a whole line is a known notice. An empty
-    text is no licence. known (digest, license_id) adds to the built-in licences; it is joined as it
-    is, not broadcast by hand. Other columns are not read.
+    digest is that of the entire canonical text, null for a text that is null or has no letter or digit.
+    license_id is the licence whose entire text this is, else null; notice_ids lists, in order and joined
+    by commas, the licences of which a whole line is a known notice. known (digest, license_id) adds to
+    the built-in licences; a digest of two licences stands for the one that comes first. The join has an
+    unaggregated shuffle on both sides, if any, so that adaptive execution can split a text of very many
+    documents; rows without a digest are spread. Other columns are not read.
     """
     spark = docs.sparkSession
     licences = catalog(spark)
     if known is not None:
         licences = licences.unionByName(known.select("digest", "license_id")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
+        licences = durable(licences)
     notices = spark.createDataFrame([(k, n) for k, v in NOTICES.items() for n in v], "license_id string, text string")
     pairs = {r.digest: r.license_id for r in notices.selectExpr(f"{digest_sql('text')} AS digest", "license_id").collect()}
     table = F.create_map(*(F.lit(x) for kv in sorted(pairs.items()) for x in kv))
-    # what words the caller's licences have is not known
-    digest = f"CASE WHEN lower(text) rlike '{TEXT_WORDS}' THEN {digest_sql('text')} END" if known is None else f"nullif({digest_sql('text')}, sha2('', 256))"
+    digest = f"nullif({digest_sql('text')}, sha2('', 256))"
     text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     line_digests = F.expr(f"transform(filter(split(text, '\\\\n'), l -> lower(l) rlike '{NOTICE_WORDS}'), l -> {digest_sql('l')})")
     marked = text.select(
@@ -122,10 +125,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     )
     ids = F.array_sort(F.array_distinct(F.filter(F.transform("lines", lambda d: table[d]), lambda x: x.isNotNull())))
     marked = marked.select("doc_id", "digest", F.coalesce(F.array_join(ids, ","), F.lit("")).alias("notice_ids"))
-    # rows without a digest can't match: left out of the join, they crowd no task
-    hit = marked.where("digest is not null").join(licences, "digest", "left").select("doc_id", "digest", "license_id", "notice_ids")
-    rest = marked.where("digest is null").select("doc_id", "digest", F.lit(None).cast("string").alias("license_id"), "notice_ids")
-    return hit.unionByName(rest)
+    key = F.coalesce("digest", F.concat(F.lit("none "), F.pmod(F.xxhash64("doc_id"), F.lit(10007))))
+    return marked.withColumn("_key", key).join(licences.withColumnRenamed("digest", "_key"), "_key", "left").select("doc_id", "digest", "license_id", "notice_ids")
 
 
 def oracle() -> str:
@@ -135,7 +136,7 @@ def oracle() -> str:
     return f"""
 WITH known AS (SELECT {digest_sql('text', False)} AS digest, min(id) AS license_id FROM (VALUES {texts}) t(id, text) GROUP BY 1),
 notices AS (SELECT {digest_sql('text', False)} AS digest, min(id) AS notice_id FROM (VALUES {notices}) t(id, text) GROUP BY 1),
-d AS (SELECT doc_id, text, CASE WHEN regexp_matches(lower(text), '{TEXT_WORDS}') THEN {digest_sql('text', False)} END AS digest FROM documents),
+d AS (SELECT doc_id, text, nullif({digest_sql('text', False)}, sha256('')) AS digest FROM documents),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d WHERE regexp_matches(lower(text), '{NOTICE_WORDS}')),
 found AS (SELECT DISTINCT doc_id, notice_id FROM (SELECT doc_id, {digest_sql('line', False)} AS digest FROM lines WHERE regexp_matches(lower(line), '{NOTICE_WORDS}')) JOIN notices USING (digest)),
 ids AS (SELECT doc_id, string_agg(notice_id, ',' ORDER BY notice_id) AS notice_ids FROM found GROUP BY 1)
