@@ -10,6 +10,8 @@ bounded number of queries; a block and a group meet in one task, and the blocks'
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -142,19 +144,23 @@ def _search(k: int, bits: int):
     return run
 
 
-def top_k(vectors: DataFrame, queries: str, k: int = 5, scale: int = 256, block_rows: int = 1 << 16, group_queries: int = 128) -> DataFrame:
+def top_k(vectors: DataFrame, queries: str, k: int = 5, scale: int = 256, block_rows: int = 1 << 16, group_queries: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest integer inner product with each query.
 
     vectors has vec_id (integer) and embedding (array of numbers); components become floor(scale * x),
     x as double. queries is an SQL condition that says which rows are queries; candidates are all rows
     but those of the query's vec_id. Ties go to the smaller vec_id; a query with fewer candidates
     has all of them. Vectors that are null or hold null or non-finite components, or a null vec_id,
-    take no part; a shorter vector counts as filled up with zeros. Other columns are not read.
+    take no part; a shorter vector counts as filled up with zeros. Scores are 64-bit: components beyond
+    the square root of 2**63 / dimensions, whose products might not fit, count as that bound. Other columns are not read.
     """
     ok = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
-    q = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    q = F.transform("embedding", lambda x: x.cast("double") * scale)
     v = durable(vectors.where(ok & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"), F.coalesce(F.expr(queries), F.lit(False)).alias("asked")))
-    n, n_q, least, most = v.agg(F.count("*"), F.count_if("asked"), F.min(F.array_min("q")), F.max(F.array_max("q"))).first()
+    n, n_q, dims = v.agg(F.count("*"), F.count_if("asked"), F.max(F.size("q"))).first()
+    bound = math.isqrt((1 << 63) // max(1, dims or 1)) - 1
+    v = v.withColumn("q", F.transform("q", lambda x: F.floor(F.greatest(F.lit(-float(bound)), F.least(F.lit(float(bound)), x))).cast("long")))
+    least, most = v.agg(F.min(F.array_min("q")), F.max(F.array_max("q"))).first()
     bits = max(int(-(least or 0) - 1).bit_length(), int(most or 0).bit_length(), 1) + 1
     blocks, groups = max(1, -(-n // block_rows)), max(1, -(-n_q // group_queries))
     rows = v.select("vec_id", "q", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"))
