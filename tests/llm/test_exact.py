@@ -492,6 +492,16 @@ def test_top_k_equals_brute_force(spark, options):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
 
 
+def test_huge_components_count_as_the_bound(spark):
+    rows = [(0, [1e300, 1.0]), (1, [-1e300, 0.0]), (2, [3.0, 0.0]), (3, [2.0, 1e18])]
+    bound = math.isqrt((1 << 63) // 2) - 1
+    bound = math.floor(float(bound))
+    x = {i: [max(-bound, min(bound, math.floor(256 * c))) for c in v] for i, v in rows}
+    got = topk_bsi.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 50 = 0").collect()
+    want = sorted(((-sum(a * b for a, b in zip(x[0], x[i])), i) for i in (1, 2, 3)))
+    assert sorted((r.rank, r.vec_id, r.score) for r in got) == [(k, i, -s) for k, (s, i) in enumerate(want, 1)]
+
+
 def test_fewer_candidates_than_k(spark):
     got = topk_bsi.top_k(spark.createDataFrame([(0, [1.0]), (50, [-1.0]), (3, [0.5])], "vec_id long, embedding array<float>"), "vec_id % 50 = 0").collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [(0, 1, 3, 32768), (0, 2, 50, -65536), (50, 1, 3, -32768), (50, 2, 0, -65536)]
