@@ -19,10 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, md): every line rewritten by (line number + doc_id) mod 14."""
     line = r"""transform(split(text, '\\n', -1), (l, ln) -> CASE cast((ln + doc_id) % 14 AS int)
-      WHEN 0 THEN concat(repeat('#', cast(1 + ((ln + doc_id) div 14) % 4 AS int)), ' ', substr(l, 1, 40))
-      WHEN 1 THEN concat('\n', 'Figure ', ln, '. ', substr(l, 1, 30))
+      WHEN 0 THEN concat(repeat('#', cast(1 + ((ln + doc_id) div 14) % 4 AS int)), ' ', l)
+      WHEN 1 THEN concat('\n', 'Figure ', ln, '. ', l)
       WHEN 2 THEN replace(l, ' e', ' \t e')
-      WHEN 3 THEN concat(substr(l, 1, 20), ' [....]')
+      WHEN 3 THEN concat(l, ' [....]')
       WHEN 4 THEN concat('```\n', '# inside fence\n', l, '\n```')
       WHEN 5 THEN concat('---\n', l)
       WHEN 6 THEN concat(l, '\r')
@@ -36,10 +36,10 @@ def augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 AUG = r"""aug AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda l, j: CASE (j - 1 + doc_id) % 14
-  WHEN 0 THEN repeat('#', CAST(1 + ((j - 1 + doc_id) // 14) % 4 AS INTEGER)) || ' ' || substr(l, 1, 40)
-  WHEN 1 THEN chr(10) || 'Figure ' || (j - 1) || '. ' || substr(l, 1, 30)
+  WHEN 0 THEN repeat('#', CAST(1 + ((j - 1 + doc_id) // 14) % 4 AS INTEGER)) || ' ' || l
+  WHEN 1 THEN chr(10) || 'Figure ' || (j - 1) || '. ' || l
   WHEN 2 THEN replace(l, ' e', ' ' || chr(9) || ' e')
-  WHEN 3 THEN substr(l, 1, 20) || ' [....]'
+  WHEN 3 THEN l || ' [....]'
   WHEN 4 THEN '```' || chr(10) || '# inside fence' || chr(10) || l || chr(10) || '```'
   WHEN 5 THEN '---' || chr(10) || l
   WHEN 6 THEN l || chr(13)
@@ -95,11 +95,11 @@ chunks AS (SELECT doc_id, 'out/doc_' || doc_id || '.md' AS filename, CAST(row_nu
 
 
 def rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc, page, rid, x0, y0, x1, y1) from lineitem; rid is a number that orders a page's rectangles, not all of them."""
+    """(doc, page, rid, x0, y0, x1, y1) from lineitem, eight orders a document; rid is a number that orders a page's rectangles, not all of them."""
     r = table(spark, sf_dir, "lineitem")
     d = lambda e: F.expr(e).cast("double")
     out = r.select(
-        (F.col("l_orderkey") % 3000).alias("doc"),
+        F.expr("l_orderkey div 8").alias("doc"),
         (1 + F.col("l_linenumber") % 3).cast("int").alias("page"),
         d("10 * l_quantity").alias("x0"),
         d("(37 * l_partkey) % 700").alias("y0"),
@@ -111,8 +111,8 @@ def rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("rid", F.row_number().over(w)).select("doc", "page", "rid", "x0", "y0", "x1", "y1")
 
 
-RECTS = """rects AS (SELECT l_orderkey % 3000 AS doc, CAST(1 + l_linenumber % 3 AS INTEGER) AS page,
-  CAST(row_number() OVER (PARTITION BY l_orderkey % 3000, 1 + l_linenumber % 3 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INTEGER) AS rid,
+RECTS = """rects AS (SELECT l_orderkey // 8 AS doc, CAST(1 + l_linenumber % 3 AS INTEGER) AS page,
+  CAST(row_number() OVER (PARTITION BY l_orderkey // 8, 1 + l_linenumber % 3 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INTEGER) AS rid,
   CAST(10 * l_quantity AS DOUBLE) AS x0, CAST((37 * l_partkey) % 700 AS DOUBLE) AS y0,
   CAST(10 * l_quantity + 10 + l_suppkey % 60 AS DOUBLE) AS x1, CAST((37 * l_partkey) % 700 + 10 + l_partkey % 50 AS DOUBLE) AS y1 FROM lineitem)"""
 SQL_TOUCH = f"a.doc = b.doc AND a.page = b.page AND a.x1 + {TOL} >= b.x0 AND b.x1 + {TOL} >= a.x0 AND a.y1 + {TOL} >= b.y0 AND b.y1 + {TOL} >= a.y0"

@@ -1,63 +1,158 @@
-"""The line table: the shared core of captions, content breaks and headers."""
+"""Lines of Markdown: captions, content breaks and headers, each found in one pass over a document in place.
+
+No document is exploded and gathered again: plain functions work on one text, and the DataFrame forms apply
+them to Arrow batches without an exchange. A null text has no lines, spots, headers or break.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+from collections.abc import Callable, Iterable, Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
-from .text import NOT_WORD, SPACE
+FENCE = "```"
+_HEADER, _RULE = re.compile(r"\s{0,3}#{1,6}(?:\s|$)"), re.compile(r"(?:-{3,}|\*{3,}|_{3,})\s*$")
 
 
-def line_table(docs: DataFrame, key: str = "doc_id", text: str = "md") -> DataFrame:
-    """(key, ln, line, off, size, blank, nf): 0-based line, its 0-based offset, whether it is blank, fences before it.
+def split_lines(md: str, start: int = 0) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, inside) of each line from `start` on, which counts as a line's start; inside a fence opened since then."""
+    inside = False
+    while True:
+        end = md.find("\n", start)
+        stop = len(md) if end < 0 else end
+        yield start, stop, inside
+        inside ^= md.startswith(FENCE, start, stop)
+        if end < 0:
+            return
+        start = end + 1
+
 
-    One exchange on the key; every window below shares it.
+def find_break(md: str, start: int = 0) -> int:
+    """The first place at or after `start`, outside of a fence opened since, where content may be put; `start` if there is none.
+
+    That is the least of: the end of a header line; behind a rule and the blank lines that follow it; the end
+    of the line before a blank line. A rule or blank line needs a line before it, a blank line one after it.
     """
-    raw = docs.select(key, F.length(text).alias("size"), F.posexplode(F.split(text, "\n", -1)).alias("ln", "line"))
-    before = Window.partitionBy(key).orderBy("ln").rowsBetween(Window.unboundedPreceding, -1)
-    return raw.select(
-        key,
-        "ln",
-        "line",
-        F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0)).cast("int").alias("off"),
-        "size",
-        (F.regexp_replace("line", r"[ \t]+", "") == "").alias("blank"),
-        F.coalesce(F.sum(F.startswith("line", F.lit("```")).cast("int")).over(before), F.lit(0)).cast("int").alias("nf"),
-    )
-
-
-def caption_spots(lines: DataFrame, keywords: list[str], key: str = "doc_id") -> DataFrame:
-    """(key, spot): offsets of blank lines directly followed by a line that starts with a keyword as a word."""
-    words = "|".join(rf"\Q{k}\E" for k in keywords)
-    w = Window.partitionBy(key).orderBy("ln")
-    found = lines.withColumn("above", F.lag("blank").over(w)).withColumn("spot", F.lag("off").over(w))
-    return found.where(F.col("above") & F.col("line").rlike(rf"^({words})({NOT_WORD}|$)")).select(key, "spot")
-
-
-def content_breaks(lines: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, brk): the first place outside of a fence where content may be put, from the document's start; 0 if there is none."""
-    following = Window.partitionBy(key).orderBy("ln").rowsBetween(1, Window.unboundedFollowing)
-    next_solid = F.coalesce(F.first(F.when(~F.col("blank"), F.col("off")), True).over(following), F.col("size"))
-    last = F.lead("ln").over(Window.partitionBy(key).orderBy("ln")).isNull()
-    open_ = F.col("nf") % 2 == 0
-    at = F.least(
-        F.when(open_ & F.col("line").rlike(rf"^{SPACE}{{0,3}}#{{1,6}}({SPACE}|$)"), F.col("off") + F.length("line")),
-        F.when(open_ & F.col("line").rlike(r"^(-{3,}|\*{3,}|_{3,})[ \t]*$"), next_solid),
-        F.when(open_ & F.col("blank") & (F.col("ln") > 0) & ~last, F.col("off") - 1),
-    )
-    return lines.select(key, at.alias("at")).groupBy(key).agg(F.coalesce(F.min("at"), F.lit(0)).alias("brk"))
-
-
-def header_lines(lines: DataFrame, levels: int = 4, key: str = "doc_id") -> DataFrame:
-    """lines with lvl, the header path h1..hN in force, and sec, the number of the section."""
-    trimmed = F.trim("line")
-    lvl = F.when((F.col("nf") % 2 == 0) & trimmed.rlike(rf"^#{{1,{levels}}}( |$)"), F.length(F.regexp_extract(trimmed, r"^(#+)", 1))).otherwise(0)
-    run = Window.partitionBy(key).orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
-    out = lines.withColumn("lvl", lvl).withColumn("title", F.trim(F.regexp_replace(trimmed, r"^#+", "")))
-    out = out.withColumn("sec", F.sum((F.col("lvl") > 0).cast("int")).over(run))
-    for k in range(1, levels + 1):
-        out = out.withColumn(f"c{k}", F.sum(((F.col("lvl") > 0) & (F.col("lvl") < k)).cast("int")).over(run))
-    for k in range(1, levels + 1):
-        scope = Window.partitionBy(key, f"c{k}").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
-        out = out.withColumn(f"h{k}", F.last(F.when(F.col("lvl") == k, F.col("title")), True).over(scope))
-    return out.drop(*(f"c{k}" for k in range(1, levels + 1)))
+    if start > len(md):
+        return start
+    best = behind = None  # behind: a rule whose blank lines have not ended
+    for k, (a, b, inside) in enumerate(split_lines(md, start)):
+        blank = not md[a:b].strip()
+        if behind is not None and not blank:
+            best, behind = min(a, best if best is not None else a), None
+        if best is not None and best < a:
+            break
+        if inside:
+            continue
+        if blank and k and b < len(md):
+            at = a - 1
+        elif _HEADER.match(md, a, b):
+            at = b
+        else:
+            if k and behind is None and _RULE.match(md, a, b):
+                behind = a
+            continue
+        best = at if best is None else min(at, best)
+    if best is None and behind is not None:
+        best = len(md)
+    return start if best is None else best
+
+
+def find_captions(md: str, keywords: Iterable[str], start: int = 0, stop: int | None = None) -> list[int]:
+    """Starts of the blank lines in md[start:stop] directly followed by a line that starts with a keyword as a word."""
+    words = "|".join(map(re.escape, keywords))
+    rx = re.compile(rf"(?m)^[ \t]*\n(?=(?:{words})\b)")
+    stop = len(md) if stop is None else stop
+    # of the line that follows, the keyword must lie within the slice
+    return [m.start() for m in rx.finditer(md, max(0, start), stop)] if words else []
+
+
+def find_headers(md: str, levels: int) -> Iterator[tuple[int, int, int, tuple]]:
+    """(start, end, level or 0, titles of the levels in force) of each line; headers inside of fences are text."""
+    path: list[str | None] = [None] * levels
+    rx = re.compile(rf"#{{1,{levels}}}(?: |$)")
+    for a, b, inside in split_lines(md):
+        line = md[a:b].strip(" ")
+        level = 0
+        if not inside and rx.match(line):
+            title = line.lstrip("#")
+            level = len(line) - len(title)
+            path = [*path[: level - 1], title.strip(" "), *[None] * (levels - level)]
+        yield a, b, level, tuple(path)
+
+
+def find_sections(md: str, levels: int) -> list[tuple]:
+    """(number, titles..., text) of the runs between headers, without blank lines at both ends; empty runs are left out."""
+    out, number, held, path = [], 0, [], (None,) * levels
+    for a, b, level, now in find_headers(md, levels):
+        if level:
+            out.append((number, path, held))
+            number, held, path = number + 1, [], now
+        else:
+            held.append(md[a:b])
+    out.append((number, path, held))
+    solid = [(n, p, [bool(x.strip(" \t")) for x in h], h) for n, p, h in out]
+    return [(n, *p, "\n".join(h[s.index(True) : len(s) - s[::-1].index(True)])) for n, p, s, h in solid if any(s)]
+
+
+def each_document(docs: DataFrame, columns: list[str], rows: Callable[..., Iterable[tuple]], schema: str, key: str = "doc_id") -> DataFrame:
+    """The rows that `rows` makes of the columns of each document, with the key before them; schema describes rows only."""
+    names = [c.split()[0] for c in re.split(r",\s*(?![^<]*>)", schema)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, owner = [], []
+            for i, values in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+                new = list(rows(*values)) if values[0] is not None else []
+                made += new
+                owner += [i] * len(new)
+            cols = list(zip(*made)) or [()] * len(names)
+            keys = batch.column(0).take(pa.array(owner, pa.int32()))
+            yield pa.RecordBatch.from_arrays([keys, *(pa.array(c, t) for c, t in zip(cols, types))], [key, *names])
+
+    kind = docs.schema[key].dataType.simpleString()
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructType
+
+    types = [to_arrow_type(f.dataType) for f in StructType.fromDDL(schema).fields]
+    return docs.select(key, *columns).mapInArrow(run, f"`{key}` {kind}, {schema}")
+
+
+def line_table(docs: DataFrame, key: str = "doc_id", text: str = "md") -> DataFrame:
+    """(key, ln, line, off, size, blank, nf): 0-based line, its 0-based offset, whether it is blank, fences before it."""
+
+    def rows(md: str) -> Iterator[tuple]:
+        nf = 0
+        for ln, (a, b, _) in enumerate(split_lines(md)):
+            line = md[a:b]
+            yield ln, line, a, len(md), not line.strip(" \t"), nf
+            nf += line.startswith(FENCE)
+
+    return each_document(docs, [text], rows, "ln int, line string, off int, size int, blank boolean, nf int", key)
+
+
+def caption_spots(docs: DataFrame, keywords: list[str], start: str | None = None, stop: str | None = None, key: str = "doc_id", text: str = "md") -> DataFrame:
+    """(key, spot): the offsets of find_captions() in each document, or in its slice by the columns start and stop."""
+    d = docs.select(key, text, (F.col(start) if start else F.lit(0)).alias("_a"), (F.col(stop) if stop else F.length(text)).alias("_b"))
+    return each_document(d, [text, "_a", "_b"], lambda md, a, b: [(x,) for x in find_captions(md, keywords, a, b)], "spot int", key)
+
+
+@F.pandas_udf(IntegerType())
+def _break(md: pd.Series, start: pd.Series) -> pd.Series:
+    return pd.Series([None if m is None else find_break(m, int(s)) for m, s in zip(md, start)], dtype="Int32")
+
+
+def content_break(md: Column, start: Column | int = 0) -> Column:
+    """find_break() of a text from an offset on."""
+    return _break(md, F.lit(start) if isinstance(start, int) else start)
+
+
+def header_lines(docs: DataFrame, levels: int = 4, key: str = "doc_id", text: str = "md") -> DataFrame:
+    """(key, ln, lvl, h1..hN) of each line: its level, 0 for text, and the titles in force."""
+    names = ", ".join(f"h{k} string" for k in range(1, levels + 1))
+    return each_document(docs, [text], lambda md: ((ln, lvl, *path) for ln, (_, _, lvl, path) in enumerate(find_headers(md, levels))), f"ln int, lvl int, {names}", key)

@@ -23,7 +23,8 @@ def drop_ellipsis_lines(md: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+    """Compatibility normalisation; texts of ASCII only are their own form and are returned as they are."""
+    return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
 
 
 def eol_unify(md: Column) -> Column:
@@ -51,10 +52,7 @@ def strip(md: Column) -> Column:
 
 
 def normalize_markdown(md: Column, compat: bool = True) -> Column:
-    """The cleaning steps in their fixed order; compat adds Unicode compatibility normalisation.
-
-    Texts of ASCII only are their own NFKC form and skip the Python worker's result.
-    """
+    """The cleaning steps in their fixed order; compat adds Unicode compatibility normalisation, which takes a Python worker."""
     md = drop_ellipsis_lines(md)
     if compat:
         md = nfkc(md)

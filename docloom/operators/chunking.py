@@ -1,9 +1,12 @@
-"""Splitters and their chain. Every stage takes and returns rows of (doc_id, pos, headers, page_content)."""
+"""Splitters and their chain. Every stage takes and returns rows of (doc_id, pos, headers, page_content).
+
+pos is an array: the place in the document, then the place in the piece of the stage before, and so on.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,26 +14,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from ..functions.lines import header_lines, line_table
+from ..functions.lines import each_document, find_sections
 from ..functions.text import WORD
 
+
 def header_split(docs: DataFrame, levels: int = 2) -> DataFrame:
     """(doc_id, pos, headers, page_content) of docs (doc_id, md): the runs between headers, which leave the text.
 
-    Blank lines at both ends go, empty sections are dropped, headers in fences are text.
+    Blank lines at both ends go, empty sections are dropped, headers in fences are text. pos is [section].
     """
-    h = header_lines(line_table(docs), levels)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ln", "line"))), lambda x: x["line"]), "\n")
     names = [f"h{k}" for k in range(1, levels + 1)]
-    body = h.where("lvl = 0").groupBy("doc_id", "sec").agg(text.alias("t"), *(F.first(n).alias(n) for n in names))
-    body = body.withColumn("page_content", F.regexp_replace("t", r"\A([ \t]*\n)+|(\n[ \t]*)+\z", "")).where(F.regexp_replace("page_content", r"[ \t\n]+", "") != "")
-    found = F.map_filter(F.map_from_arrays(F.array(*(F.lit(f"Header {k}") for k in range(1, levels + 1))), F.array(*names)), lambda k, v: v.isNotNull())
-    return body.select("doc_id", F.col("sec").cast("long").alias("pos"), found.alias("headers"), "page_content")
+    found = each_document(docs, ["md"], lambda md: find_sections(md, levels), f"sec int, {', '.join(f'{n} string' for n in names)}, page_content string")
+    headers = F.map_filter(F.map_from_arrays(F.array(*(F.lit(f"Header {k}") for k in range(1, levels + 1))), F.array(*names)), lambda k, v: v.isNotNull())
+    return found.select("doc_id", F.array("sec").alias("pos"), headers.alias("headers"), "page_content")
 
 
 def _spread(rows: DataFrame, pieces: Column) -> DataFrame:
+    """The pieces of each row; the place of a piece follows that of its row, so that order holds at any number of pieces."""
     out = rows.select("doc_id", "pos", "headers", F.posexplode(pieces).alias("k", "page_content"))
-    return out.select("doc_id", (F.col("pos") * 1_000_000 + F.col("k")).alias("pos"), "headers", "page_content")
+    return out.select("doc_id", F.concat("pos", F.array("k")).alias("pos"), "headers", "page_content")
 
 
 def window_split(rows: DataFrame, size: int, overlap: int) -> DataFrame:
@@ -109,9 +111,22 @@ def hash_embed_values(text: str, dim: int = 64) -> list[float]:
     return (v / n if n else v).tolist()
 
 
-@F.pandas_udf(ArrayType(DoubleType()))
-def hash_embed(s: pd.Series) -> pd.Series:
-    return s.map(hash_embed_values)
+def embedder(model: Callable[[], Callable[[list[str]], list[list[float]]]]) -> Callable[[Column | str], Column]:
+    """A column function for an embedding model: model() loads it once for each worker, and it is called by batches of texts.
+
+    A null text is embedded like an empty one.
+    """
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        run = model()
+        for s in batches:
+            yield pd.Series([list(map(float, v)) for v in run([x or "" for x in s])])
+
+    return embed
+
+
+hash_embed = embedder(lambda: lambda texts: [hash_embed_values(t) for t in texts])
 
 
 def semantic_pieces(text: str, size: int, embed: Callable[[str], list[float]], percentile: float = 95) -> list[str]:
@@ -141,7 +156,23 @@ def semantic_split(rows: DataFrame, size: int = 1000, embed: Callable[[str], lis
 
 def whole(docs: DataFrame) -> DataFrame:
     """Documents as one chunk each, for chains that don't start with the header splitter."""
-    return docs.select("doc_id", F.lit(0).cast("long").alias("pos"), F.create_map().cast("map<string,string>").alias("headers"), F.col("md").alias("page_content"))
+    return docs.select("doc_id", F.array(F.lit(0)).alias("pos"), F.create_map().cast("map<string,string>").alias("headers"), F.col("md").alias("page_content"))
+
+
+#: Splitters by name: f(rows, stage) -> rows. register_splitter() adds to them.
+SPLITTERS: dict[str, Callable[[DataFrame, dict], DataFrame]] = {
+    "recursive": lambda rows, s: recursive_split(rows, s.get("chunk_size", 1000), s.get("chunk_overlap", 150)),
+    "window": lambda rows, s: window_split(rows, s.get("chunk_size", 1000), s.get("chunk_overlap", 150)),
+    "sentence": lambda rows, s: token_split(rows, s.get("chunk_size", 1000), s.get("chunk_overlap", 150)),
+    "semantic": lambda rows, s: semantic_split(rows, s.get("chunk_size", 1000), s.get("embed", hash_embed_values)),
+}
+
+
+def register_splitter(name: str, split: Callable[[DataFrame, dict], DataFrame]) -> None:
+    """Make a splitter known to chains and configurations; it gets rows and the stage's settings."""
+    if name == "markdown" or name in SPLITTERS:
+        raise ValueError(f"there is a splitter {name!r} already")
+    SPLITTERS[name] = split
 
 
 def split_chain(docs: DataFrame, stages: list[dict]) -> DataFrame:
@@ -155,20 +186,24 @@ def split_chain(docs: DataFrame, stages: list[dict]) -> DataFrame:
             if k:
                 raise ValueError("the header splitter can only be the first")
             rows = header_split(docs, s.get("header_levels", 2))
-        elif kind == "recursive":
-            rows = recursive_split(rows, s.get("chunk_size", 1000), s.get("chunk_overlap", 150))
-        elif kind == "window":
-            rows = window_split(rows, s.get("chunk_size", 1000), s.get("chunk_overlap", 150))
-        elif kind == "sentence":
-            rows = token_split(rows, s.get("chunk_size", 1000), s.get("chunk_overlap", 150))
-        elif kind == "semantic":
-            rows = semantic_split(rows, s.get("chunk_size", 1000))
+        elif kind in SPLITTERS:
+            rows = SPLITTERS[kind](rows, s)
         else:
             raise ValueError(f"unknown splitter {kind!r}")
     return rows
 
 
-def chunk_metadata(rows: DataFrame, filename: Column) -> DataFrame:
-    """(doc_id, filename, chunk_idx, headers, n_tokens, page_content): numbered from 0 in document order; n_tokens counts characters."""
+def chunk_metadata(rows: DataFrame, filename: Column, counted: bool = True) -> DataFrame:
+    """(doc_id, filename, chunk_idx, headers, n_tokens, page_content): numbered from 0 in document order.
+
+    n_tokens counts characters, as the splitters' length function does; if the chain has no splitter with one
+    (counted is off), it is 0.
+    """
     w = Window.partitionBy("doc_id").orderBy("pos")
-    return rows.select("doc_id", filename.alias("filename"), (F.row_number().over(w) - 1).alias("chunk_idx"), "headers", F.length("page_content").alias("n_tokens"), "page_content")
+    n = F.length("page_content") if counted else F.lit(0)
+    return rows.select("doc_id", filename.alias("filename"), (F.row_number().over(w) - 1).alias("chunk_idx"), "headers", n.alias("n_tokens"), "page_content")
+
+
+def chunk_range(chunks: DataFrame) -> DataFrame:
+    """(filename, first, last): the chunk numbers of each file."""
+    return chunks.groupBy("filename").agg(F.min("chunk_idx").alias("first"), F.max("chunk_idx").alias("last"))

@@ -4,34 +4,40 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import alt_text, anchor_pattern, figure_id, page_snippet
+from ..functions.lines import each_document, find_break, find_captions
+from ..functions.text import NOT_WORD, alt_text, anchor_pattern, figure_id, page_snippet
 
 BOX = ("x0", "y0", "x1", "y1")
 
 
-def page_anchors(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc_id, page, off): where each page's first words are found, searching on from the page before.
+def find_anchors(md: str, patterns: list[str | None]) -> list[int]:
+    """Offsets of the pages' patterns, each searched on from the hit before; a miss takes that one's place.
 
-    docs: doc_id, md; pages: doc_id, page, text. A fold in page order, one group for each document.
-    A miss takes the bound before; the offset is one less than the hit, so that it includes the line end.
+    One less than the hit is given, so that it includes the line end.
     """
-    snippets = pages.select("doc_id", "page", anchor_pattern(page_snippet(F.col("text"))).alias("rx"))
+    low, out = 0, []
+    for rx in patterns:
+        hit = re.compile(rf"(?<!\w){rx.replace(NOT_WORD, chr(92) + 'W')}(?!\w)").search(md, low) if rx else None
+        low = hit.start() if hit else low
+        out.append(low - 1)
+    return out
 
-    def fold(key, d: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        md = d["md"].iloc[0] if len(d) else ""
-        low, rows = 0, []
-        for page, rx in zip(*(p.sort_values("page")[c] for c in ("page", "rx"))):
-            hit = re.compile(rf"(?<!\w){rx.replace('[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}_]', chr(92) + 'W')}(?!\w)").search(md, low) if rx else None
-            low = hit.start() if hit else low
-            rows.append((key[0], int(page), low - 1))
-        return pd.DataFrame(rows, columns=["doc_id", "page", "off"])
 
-    return docs.select("doc_id", "md").groupBy("doc_id").cogroup(snippets.groupBy("doc_id")).applyInPandas(fold, "doc_id long, page int, off int")
+def page_anchors(docs: DataFrame, pages: DataFrame) -> DataFrame:
+    """(doc_id, page, off): where each page's first words are found, searching on from the page before.
+
+    docs: doc_id, md; pages: doc_id, page, text. Pages are gathered by document, then texts are searched batch
+    by batch. A document with a null text, or that is not in docs, has all its pages at -1; pages of a null number come first.
+    """
+    rx = anchor_pattern(page_snippet(F.col("text")))
+    by = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", rx.alias("rx")))).alias("pages"))
+    both = by.join(docs.select("doc_id", "md"), "doc_id", "left").withColumn("md", F.coalesce("md", F.lit("")))
+    return each_document(both, ["md", "pages"], lambda md, p: zip((x["page"] for x in p), find_anchors(md, [x["rx"] for x in p])), "page int, off int")
 
 
 def monotone_anchors(anchors: DataFrame) -> DataFrame:
@@ -45,6 +51,11 @@ def page_bounds(anchors: DataFrame, sizes: DataFrame) -> DataFrame:
     return anchors.join(sizes, "doc_id").select("doc_id", "page", F.col("off").alias("start"), F.coalesce(F.lead("off").over(w), F.col("size")).alias("stop"))
 
 
+def union_boxes(rects: DataFrame, *by: str) -> DataFrame:
+    """(by..., x0, y0, x1, y1): the least box around the boxes of each group."""
+    return rects.groupBy(*by).agg(*(F.min(c).alias(c) for c in BOX[:2]), *(F.max(c).alias(c) for c in BOX[2:]))
+
+
 def touching(a: str, b: str, tol: float) -> Column:
     """Whether two boxes overlap or are at most tol apart on both axes."""
     c = F.col
@@ -59,19 +70,23 @@ def touch_pairs(rects: DataFrame, tol: float) -> DataFrame:
 
 
 def merge_boxes(boxes: list[tuple], tol: float) -> list[tuple]:
-    """Union touching boxes until none touch; the result does not depend on the order."""
-    out: list[tuple] = []
-    todo = list(boxes)
-    while todo:
-        b = todo.pop()
-        near = [o for o in out if b[2] + tol >= o[0] and o[2] + tol >= b[0] and b[3] + tol >= o[1] and o[3] + tol >= b[1]]
-        if near:
-            out = [o for o in out if o not in near]
-            near.append(b)
-            todo.append((min(n[0] for n in near), min(n[1] for n in near), max(n[2] for n in near), max(n[3] for n in near)))
-        else:
-            out.append(b)
-    return out
+    """Union touching boxes until none touch; the result does not depend on the order. Comparisons are by whole columns."""
+    b = np.array(boxes, float).reshape(-1, 4)
+    done = np.empty_like(b)
+    n = 0
+    for box in b:
+        while True:
+            o = done[:n]
+            near = (box[2] + tol >= o[:, 0]) & (o[:, 2] + tol >= box[0]) & (box[3] + tol >= o[:, 1]) & (o[:, 3] + tol >= box[1])
+            if not near.any():
+                break
+            box = np.concatenate((np.minimum(o[near, :2].min(0), box[:2]), np.maximum(o[near, 2:].max(0), box[2:])))
+            rest = o[~near]
+            n = len(rest)
+            done[:n] = rest
+        done[n] = box
+        n += 1
+    return [tuple(x) for x in done[:n].tolist()]
 
 
 def merge_rects(rects: DataFrame, tol: float) -> DataFrame:
@@ -139,39 +154,36 @@ def apply_insertions(docs: DataFrame, edits: DataFrame) -> DataFrame:
     return docs.join(e, "doc_id", "left").select("doc_id", text.alias("md"))
 
 
+def image_line(caption: Column, figure: Column, path: Column) -> Column:
+    """The Markdown that is inserted for a figure."""
+    return F.concat(F.lit("\n\n!["), alt_text(caption, figure), F.lit("]("), path, F.lit(") <!-- "), figure, F.lit(" -->\n"))
+
+
+def find_places(md: str, figures: list[dict], keywords: list[str]) -> list[tuple[int, int, str]]:
+    """(offset, number, text) of the insertions of figures (page, start, stop, y0, id, txt), page by page from top to bottom.
+
+    The caption spots of a page are used once each, in order; without one left, a figure goes to the content
+    break from a cursor that starts at the page's start and moves behind what was inserted.
+    """
+    out, page, free, cursor = [], None, [], 0
+    for f in sorted(figures, key=lambda f: (f["page"], f["y0"], f["id"])):
+        if f["page"] != page:
+            page, cursor = f["page"], f["start"]
+            free = find_captions(md, keywords, f["start"], f["stop"])
+        if free:
+            at = free.pop(0)
+        else:
+            at = find_break(md, cursor)
+            cursor = at + len(f["txt"])
+        out.append((at, len(out), f["txt"]))
+    return out
+
+
 def place_figures(pages: DataFrame, keywords: list[str]) -> DataFrame:
     """(doc_id, idx, seq, txt): insertions of figures. pages: doc_id, md, figures array<struct<page, start, stop, y0, id, imagepath, caption>>.
 
-    Captioned spots of a page are used once each, in order; then the content break from a cursor that
-    starts at the page's start and moves behind what was inserted.
+    See find_places(). A document with a null text or null figures has none; an offset may lie behind the text's end.
     """
-    lines = F.transform("figures", lambda x: x.withField("txt", F.concat(F.lit("\n\n!["), alt_text(x["caption"], x["id"]), F.lit("]("), x["imagepath"], F.lit(")<!-- "), x["id"], F.lit(" -->\n"))))
-    words = "|".join(map(re.escape, keywords))
-    caption = re.compile(rf"(?m)^[ \t]*\n(?=(?:{words})\b)")
-    stop = re.compile(r"(?m)^\s{0,3}#{1,6}\s.*$|^(?:-{3,}|\*{3,}|_{3,})[ \t]*$(?:\s*\n)?|\n(?=[ \t]*\n)")
-
-    def brk(md: str, at: int) -> int:
-        for m in stop.finditer(md, at):
-            if len(re.findall(r"(?m)^```", md[at : m.start()])) % 2 == 0:
-                return m.start() if m.group().startswith("\n") else m.end()
-        return at
-
-    def run(it):
-        for pdf in it:
-            rows = []
-            for doc, md, figs in zip(pdf["doc_id"], pdf["md"], pdf["figures"]):
-                figs = sorted(figs, key=lambda f: (f["page"], f["y0"], f["id"]))
-                page = None
-                for f in figs:
-                    if f["page"] != page:
-                        page, cursor = f["page"], f["start"]
-                        free = [m.start() for m in caption.finditer(md, f["start"], f["stop"])]
-                    if free:
-                        idx = free.pop(0)
-                    else:
-                        idx = brk(md, min(cursor, len(md)))
-                        cursor = idx + len(f["txt"])
-                    rows.append((doc, idx, len(rows), f["txt"]))
-            yield pd.DataFrame(rows, columns=["doc_id", "idx", "seq", "txt"])
-
-    return pages.select("doc_id", "md", lines.alias("figures")).mapInPandas(run, "doc_id long, idx int, seq int, txt string")
+    lines = F.transform("figures", lambda x: x.withField("txt", image_line(x["caption"], x["id"], x["imagepath"])))
+    d = pages.select("doc_id", "md", F.coalesce(lines, F.array()).alias("figures"))
+    return each_document(d, ["md", "figures"], lambda md, f: find_places(md, f, keywords), "idx int, seq int, txt string")

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.text import WORD
 
@@ -26,6 +33,11 @@ def upsert_files(index: DataFrame, worklist: DataFrame, rows: DataFrame) -> Data
     return add_rows(delete_files(index, worklist), rows)
 
 
+def index_size(index: DataFrame) -> DataFrame:
+    """(n): the number of rows."""
+    return index.agg(F.count("*").alias("n"))
+
+
 def registry_merge(old: DataFrame, new: DataFrame) -> DataFrame:
     """Registry rows (name, distance, model, types): types unite where name, distance and model agree, else the new row counts."""
     o = old.select("name", F.col("distance").alias("od"), F.col("model").alias("om"), F.col("types").alias("ot"))
@@ -44,46 +56,97 @@ def l2_normalize(v: Column) -> Column:
     return F.transform(v, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))
 
 
-def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine", most: int = 10_000) -> DataFrame:
+def vectors_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Rows with a whole finite vector, and their matrix; all whole vectors must have one length."""
+    lists = column.to_pylist()
+    good = [i for i, v in enumerate(lists) if v is not None and None not in v and np.isfinite(v).all()]
+    sizes = {len(lists[i]) for i in good}
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(sizes)}")
+    return np.array(good, np.int64), np.array([lists[i] for i in good], float).reshape(len(good), *sizes or (0,))
+
+
+def _nearest(q_ids: np.ndarray, q: np.ndarray, k: int, metric: str, own: bool):
+    q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300) if metric == "cosine" else q
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, x = vectors_of(batch.column(1))
+            if not len(rows):
+                continue
+            ids = batch.column(0).to_numpy(zero_copy_only=False)[rows]
+            order = np.argsort(ids, kind="stable")
+            ids, x = ids[order], x[order]
+            if metric == "cosine":
+                x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+                score = np.round(q @ x.T, 6)
+                key = -score
+            else:
+                square = (q * q).sum(1)[:, None] + (x * x).sum(1)[None] - 2 * (q @ x.T)
+                # cancellation makes small distances inexact; those are taken from the differences
+                for i, j in zip(*np.nonzero(square < 1e-6 * ((q * q).sum(1)[:, None] + (x * x).sum(1)[None]))):
+                    square[i, j] = ((q[i] - x[j]) ** 2).sum()
+                key = score = np.round(np.sqrt(np.maximum(square, 0)), 6)
+            key = key if own else np.where(ids[None] == q_ids[:, None], np.inf, key)
+            best = np.argsort(key, axis=1, kind="stable")[:, :k]  # ids ascend, so ties go to the smaller one
+            at = np.repeat(np.arange(len(q_ids)), best.shape[1])
+            best = best.ravel()
+            live = np.isfinite(key[at, best])
+            at, best = at[live], best[live]
+            yield pa.RecordBatch.from_arrays([pa.array(q_ids[at]), pa.array(ids[best]), pa.array(score[at, best])], ["query_id", "vec_id", "score"])
+
+    return run
+
+
+def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine", query_bytes: int = 64 << 20, own: bool = False) -> DataFrame:
     """(query_id, rank, vec_id, score): exact nearest vectors by cosine similarity or L2 distance, ties to the smaller id.
 
-    vectors and queries have vec_id and embedding. Up to `most` queries, a checked number, are broadcast
-    against all vectors; more go through in groups of that size.
+    vectors and queries have vec_id (integer) and embedding; a query's own id is no answer, unless
+    own is set. Scores are rounded to 6
+    digits before they are ranked. Queries go to the vectors in groups of at most query_bytes, as one matrix each; a
+    batch of vectors is multiplied with it and passes on its k best of each query. Vectors that are null or hold
+    null or non-finite components take no part; a zero vector's cosine is 0.
     """
-    total = queries.count()
-    if total > most:
-        groups = -(-total // most)
-        parts = [knn(vectors, queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == g), k, metric, total) for g in range(groups)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    both = vectors.select("vec_id", "embedding").crossJoin(F.broadcast(q)).where("vec_id <> query_id")
-    if metric == "cosine":
-        score, order = dot(F.col("q"), F.col("embedding")) / (F.sqrt(dot(F.col("q"), F.col("q"))) * F.sqrt(dot(F.col("embedding"), F.col("embedding")))), F.col("score").desc()
-    else:
-        diff = F.zip_with("q", "embedding", lambda x, y: x.cast("double") - y.cast("double"))
-        score, order = F.sqrt(F.aggregate(diff, F.lit(0.0), lambda s, v: s + v * v)), F.col("score").asc()
+    size = queries.agg(F.sum(F.size("embedding") * 8 + 8)).first()[0] or 0
+    groups = max(1, -(-size // query_bytes))
+    asked, out = queries.select("vec_id", "embedding"), None
+    for g in range(groups):
+        part = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == g) if groups > 1 else asked
+        table = part.toArrow()
+        rows, q = vectors_of(table["embedding"])
+        ids = np.array(table["vec_id"].to_pylist(), object)[rows].astype(np.int64)
+        found = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_nearest(ids, q, k, metric, own), "query_id long, vec_id long, score double")
+        out = found if out is None else out.unionByName(found)
+    order = F.col("score").desc() if metric == "cosine" else F.col("score").asc()
     w = Window.partitionBy("query_id").orderBy(order, "vec_id")
-    return both.select("query_id", "vec_id", F.round(score, 6).alias("score")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def words(text: Column | str) -> Column:
+    """Lower-cased words of a text."""
+    return F.regexp_extract_all(F.lower(text), F.lit(f"{WORD}+"), F.lit(0))
 
 
 def postings(chunks: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(term, key, tf, dl): the inverted index of lower-cased words."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(f"{WORD}+"), F.lit(0))
-    terms = chunks.select(key, words.alias("w")).select(key, F.size("w").alias("dl"), F.explode("w").alias("term"))
+    terms = chunks.select(key, words(text).alias("w")).select(key, F.size("w").alias("dl"), F.explode("w").alias("term"))
     return terms.groupBy(key, "term", "dl").agg(F.count("*").alias("tf"))
 
 
-def bm25(posts: DataFrame, n_docs: int, avg_len: float, queries: DataFrame, k: int, k1: float = 1.2, b: float = 0.75, key: str = "doc_id") -> DataFrame:
-    """(query_id, rank, key, score) of queries (query_id, term), each distinct term once; ties to the smaller key."""
-    asked = posts.join(queries.select("term").distinct(), "term", "left_semi")
-    df = asked.groupBy("term").agg(F.count("*").alias("df"))
+def bm25(posts: DataFrame, n_docs: int, avg_len: float, queries: DataFrame, k: int, k1: float = 1.2, b: float = 0.75, key: str = "doc_id", most: int = 1_000_000) -> DataFrame:
+    """(query_id, rank, key, score) of queries (query_id, term), each distinct term once; ties to the smaller key.
+
+    Terms of the queries, if at most `most`, are sent to the postings: a common word is then no hot key, since nothing
+    is dealt out by term. Its documents are counted before they are shuffled. More terms are joined.
+    """
+    asked = queries.select("query_id", "term").distinct()
+    small = F.broadcast if asked.limit(most + 1).count() <= most else lambda df: df
+    hits = posts.join(small(asked.select("term").distinct()), "term", "left_semi")
+    df = hits.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avg_len))
-    scored = asked.join(df, "term").select("term", key, weight.alias("w")).join(queries.distinct(), "term")
-    total = scored.groupBy("query_id", key).agg(F.round(F.sum("w"), 6).alias("score"))
+    wanted = asked.join(df, "term").select("term", "query_id", idf.alias("idf"))
+    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avg_len))
+    total = hits.join(small(wanted), "term").groupBy("query_id", key).agg(F.round(F.sum(weight), 6).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), key)
     return total.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -97,61 +160,194 @@ def fuse(a: DataFrame, b: DataFrame, k: int, c: int = 60) -> DataFrame:
 
 
 class Index:
-    """An index stored as Parquet in versioned folders: an edit writes the next version, then moves the pointer.
+    """A stored index of chunks: texts, vectors, and for a hybrid index the postings of their words.
 
-    Readers see whole versions only; a job that dies leaves the last one in force.
+    Rows go by a hash of their filename to one of `segments` segments. An edit reads and writes the segments of the
+    files it touches only, into a new folder; then a manifest, which says where each segment is and how many rows and
+    words it has, takes force as a whole by being created. Readers keep the manifest they began with; folders that no manifest of the last few names
+    go by vacuum() alone. Two writers can't create one manifest: the later one fails and changes nothing.
+
+    rows have filename, chunk_idx, page_content and, unless embed is given, embedding; other columns are kept.
+    With the cosine distance vectors are stored normalised.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    MODES = ("dense", "sparse", "hybrid")
+
+    def __init__(self, spark: SparkSession, path: str, distance: str = "cosine", kind: str = "flat", embed: Callable[[str], Column] | None = None, segments: int = 16, mode: str = "dense"):
+        if distance not in ("cosine", "euclidean") or kind not in ("flat", "hybrid") or mode not in self.MODES:
+            raise ValueError("distance is cosine or euclidean, kind flat or hybrid, mode dense, sparse or hybrid")
+        if mode != "dense" and kind == "flat":
+            raise ValueError(f"a flat index has no {mode} search")
         self.spark, self.path = spark, path.rstrip("/")
+        self.distance, self.kind, self.embed, self.segments, self.mode = distance, kind, embed, segments, mode
 
     def _fs(self):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), self.spark._jvm.org.apache.hadoop.fs.Path
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
     def version(self) -> int:
+        """Number of the manifest in force, -1 without one."""
         fs, path = self._fs()
-        root = path(self.path)
-        if not fs.exists(root):
-            return -1
-        done = [s.getPath().getName() for s in fs.listStatus(root)]
-        return max((int(n[1:]) for n in done if n[:1] == "v" and n[1:].isdigit() and fs.exists(path(f"{self.path}/{n}/_SUCCESS"))), default=-1)
+        root = path(f"{self.path}/manifests")
+        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        return max((int(n[1:-5]) for n in names if n[:1] == "m" and n.endswith(".json")), default=-1)
+
+    def _manifest(self, version: int | None = None) -> dict:
+        v = self.version() if version is None else version
+        if v < 0:
+            raise FileNotFoundError(f"no index at {self.path}")
+        text = "\n".join(r.value for r in self.spark.read.text(f"{self.path}/manifests/m{v}.json", wholetext=True).collect())
+        return json.loads(text)
 
     def exists(self) -> bool:
         return self.version() >= 0
 
-    def load(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v{self.version()}")
+    def _table(self, name: str, manifest: dict, only: set[str] | None = None) -> DataFrame | None:
+        paths = [f"{self.path}/{name}/{e['folder']}/index_segment={k}" for k, e in manifest["segments"].items() if e["rows"] and (only is None or k in only)]
+        schema = StructType.fromJson(manifest["schema"][name])
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(*paths).select(*schema.names) if paths else self.spark.createDataFrame([], schema)
+
+    def load(self, version: int | None = None) -> DataFrame:
+        """The rows of a version, by default the one in force."""
+        return self._table("rows", self._manifest(version))
+
+    def postings(self) -> DataFrame:
+        """(id, term, dl, tf) of a hybrid index."""
+        return self._table("postings", self._manifest())
 
     def create(self, rows: DataFrame) -> None:
+        """An index of these rows; nothing happens if there is one."""
         if not self.exists():
-            self._write(rows)
-
-    def _write(self, rows: DataFrame) -> None:
-        v = self.version() + 1
-        rows.write.mode("overwrite").parquet(f"{self.path}/v{v}")
+            self._write(None, self._prepared(rows), None)
+
+    def open(self, rows: DataFrame | None = None) -> Index:
+        """The index that exists, else a new one of rows."""
+        if rows is None and not self.exists():
+            raise FileNotFoundError(f"no index at {self.path}")
+        if rows is not None:
+            self.create(rows)
+        return self
+
+    def _segment(self) -> Column:
+        return F.pmod(F.xxhash64("filename"), F.lit(self.segments)).cast("int")
+
+    def _prepared(self, rows: DataFrame) -> DataFrame:
+        if self.embed is not None:
+            rows = rows.withColumn("embedding", self.embed("page_content"))
+        if "embedding" in rows.columns and self.distance == "cosine":
+            rows = rows.withColumn("embedding", l2_normalize(F.col("embedding")))
+        made = {"id": F.xxhash64("filename", "chunk_idx"), "n_words": F.size(words("page_content"))}
+        return rows.select(*(c for c in rows.columns if c not in made), *(v.alias(c) for c, v in made.items()))
+
+    def _write(self, manifest: dict | None, rows: DataFrame, touched: set[str] | None) -> None:
+        """rows become all there is of the touched segments (None: of all)."""
+        n = self.version() + 1
+        folder = f"index_edit=v{n}-{uuid.uuid4().hex[:8]}"
+        rows.withColumn("index_segment", self._segment()).repartition("index_segment").write.partitionBy("index_segment").parquet(f"{self.path}/rows/{folder}")
+        kept = StructType([f for f in rows.schema.fields])
+        new = {"schema": {"rows": kept.jsonValue()}, "segments": dict(manifest["segments"]) if manifest else {}}
+        written = self.spark.read.schema(StructType([*kept.fields, StructField("index_segment", IntegerType())])).parquet(f"{self.path}/rows/{folder}")
+        sums = {str(r.index_segment): {"folder": folder, "rows": r.n, "words": r.w or 0} for r in written.groupBy("index_segment").agg(F.count("*").alias("n"), F.sum("n_words").alias("w")).collect()}
+        for k in touched or ():
+            new["segments"].pop(k, None)
+        new["segments"] |= sums
+        if self.kind == "hybrid":
+            posts = postings(written.withColumn("_key", F.struct("id", "index_segment")), "_key", "page_content").select("_key.id", "term", "dl", "tf", "_key.index_segment")
+            posts.repartition("index_segment", F.pmod(F.xxhash64("term"), F.lit(8))).sortWithinPartitions("index_segment", "term").write.partitionBy("index_segment").parquet(f"{self.path}/postings/{folder}")
+            new["schema"]["postings"] = StructType(posts.schema.fields[:-1]).jsonValue()
         fs, path = self._fs()
-        for s in fs.listStatus(path(self.path)):
-            name = s.getPath().getName()
-            if name[:1] == "v" and name[1:].isdigit() and int(name[1:]) < v - 1:
-                fs.delete(s.getPath(), True)
+        fs.mkdirs(path(f"{self.path}/manifests"))
+        out = fs.create(path(f"{self.path}/manifests/m{n}.json"), False)  # fails if another writer was first
+        out.write(bytearray(json.dumps(new).encode()))
+        out.close()
+
+    def _edit(self, files: DataFrame, rows: DataFrame | None) -> int:
+        manifest = self._manifest()
+        names = files.select("filename").distinct()
+        if rows is not None:
+            rows = self._prepared(rows)
+        touched = {str(r.s) for r in (names if rows is None else names.unionByName(rows.select("filename"))).select(self._segment().alias("s")).distinct().collect()}
+        old = self._table("rows", manifest, touched)
+        removed = deleted_counts(old, names).agg(F.sum("removed")).first()[0] or 0
+        if rows is not None or removed:
+            kept = delete_files(old, names).select(*old.columns)
+            self._write(manifest, kept if rows is None else kept.unionByName(rows, allowMissingColumns=True), touched)
+        return removed
 
     def add(self, rows: DataFrame) -> None:
-        self._write(add_rows(self.load(), rows))
+        self._edit(rows.limit(0), rows)
 
     def delete(self, files: DataFrame) -> int:
-        removed = deleted_counts(self.load(), files).agg(F.sum("removed")).first()[0] or 0
-        if removed:
-            self._write(delete_files(self.load(), files))
-        return removed
+        """Number of rows removed of the files (filename)."""
+        return self._edit(files, None)
 
     def upsert(self, worklist: DataFrame, rows: DataFrame) -> None:
-        self._write(upsert_files(self.load(), worklist, rows) if self.exists() else rows)
+        """Replace the rows of all files of the worklist by rows; a file without rows is cleared."""
+        if self.exists():
+            self._edit(worklist, rows)
+        else:
+            self.create(rows)
 
     def count(self) -> int:
-        return self.load().count()
+        return sum(e["rows"] for e in self._manifest()["segments"].values())
+
+    def search(self, queries: DataFrame, k: int, mode: str | None = None, depth: int | None = None) -> DataFrame:
+        """(query_id, rank, id, score, filename, chunk_idx) of queries (query_id, text or embedding), by the index's mode or the one given.
+
+        dense: nearest vectors; sparse: BM25 by the stored postings; hybrid: reciprocal ranks of the best `depth` (4 k) of both.
+        """
+        mode = mode or self.mode
+        if mode not in self.MODES or mode != "dense" and self.kind == "flat":
+            raise ValueError(f"no {mode} search in a {self.kind} index")
+        manifest = self._manifest()
+        rows, parts = self._table("rows", manifest), []
+        n = k if mode != "hybrid" else depth or 4 * k
+        if mode != "sparse":
+            vector = F.col("embedding") if "embedding" in queries.columns else self.embed("text")
+            asked = queries.select(F.col("query_id").cast("long").alias("vec_id"), vector.alias("embedding"))
+            found = knn(rows.select(F.col("id").alias("vec_id"), "embedding"), asked, n, "cosine" if self.distance == "cosine" else "l2", own=True)
+            parts.append(found.select("query_id", F.col("vec_id").alias("id"), "score", "rank"))
+        if mode != "dense":
+            size = sum(e["rows"] for e in manifest["segments"].values())
+            total = sum(e["words"] for e in manifest["segments"].values())
+            terms = queries.select("query_id", F.explode(words("text")).alias("term"))
+            parts.append(bm25(self._table("postings", manifest), size, total / max(1, size) or 1.0, terms, n, key="id"))
+        best = parts[0] if len(parts) == 1 else fuse(*parts, k)
+        return best.join(rows.select("id", "filename", "chunk_idx"), "id").select("query_id", "rank", "id", "score", "filename", "chunk_idx")
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete manifests but the last `keep`, and the folders that none of those names."""
+        fs, path = self._fs()
+        last = self.version()
+        old = range(0, last - keep + 1)
+        used = {e["folder"] for v in range(max(0, last - keep + 1), last + 1) for e in self._manifest(v)["segments"].values()}
+        for v in old:
+            fs.delete(path(f"{self.path}/manifests/m{v}.json"), False)
+        for name in ("rows", "postings"):
+            root = path(f"{self.path}/{name}")
+            for s in fs.listStatus(root) if fs.exists(root) else ():
+                if s.getPath().getName() not in used:
+                    fs.delete(s.getPath(), True)
 
     def drop(self) -> None:
         fs, path = self._fs()
         if fs.exists(path(self.path)):
             fs.delete(path(self.path), True)
+
+
+class Registry:
+    """The stored list of indexes (name, distance, model, types), see registry_merge(): one small Parquet table, replaced as a whole."""
+
+    SCHEMA = "name string, distance string, model string, types array<string>"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.index = Index(spark, path)
+        self.spark = spark
+
+    def load(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.SCHEMA) if not self.index.exists() else self.index.load().select("name", "distance", "model", "types")
+
+    def merge(self, new: DataFrame) -> None:
+        merged = registry_merge(self.load(), new).withColumns({"filename": F.col("name"), "chunk_idx": F.lit(0), "page_content": F.lit("")})
+        self.index.upsert(merged.select("filename"), merged)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import stem
+from ..functions.text import model_slug, stem
 
 
 def output_paths(names: DataFrame, folder: str, name: str = "name") -> DataFrame:
@@ -39,3 +39,11 @@ def status_counts(done: DataFrame, ok: Column) -> DataFrame:
 def chunks_per_file(files: DataFrame, chunks: DataFrame) -> DataFrame:
     n = chunks.groupBy("filename").agg(F.count("*").alias("n_chunks"))
     return files.join(n, "filename", "left").select("filename", F.coalesce("n_chunks", F.lit(0)).cast("long").alias("n_chunks"))
+
+
+def document_metadata(pages: DataFrame, source: str, folder: str, model: str) -> DataFrame:
+    """(filename, filepath, md_filepath, n_pages, image_folder, model) of pages (filename, page); model is the embedding model's slug."""
+    n = pages.groupBy("filename").agg(F.max("page").alias("n_pages"))
+    base = stem(F.col("filename"))
+    md, images = (F.concat_ws("/", F.lit(folder), F.concat(base, F.lit(x))) for x in (".md", "_images"))
+    return n.select("filename", F.concat_ws("/", F.lit(source), "filename").alias("filepath"), md.alias("md_filepath"), "n_pages", images.alias("image_folder"), model_slug(F.lit(model)).alias("model"))

@@ -92,13 +92,12 @@ def nfkc(spark, d):
 
 
 def _normalized(spark, d) -> DataFrame:
-    """Without NFKC, which is the identity on these texts; see the query of that name."""
-    return X.augmented(spark, d).select("doc_id", T.normalize_markdown(F.col("md"), compat=False).alias("md"))
+    return X.augmented(spark, d).select("doc_id", T.normalize_markdown(F.col("md")).alias("md"))
 
 
 @query(f"WITH {X.NORM} SELECT doc_id, md FROM norm")
 def normalize_markdown(spark, d):
-    return X.augmented(spark, d).select("doc_id", T.normalize_markdown(F.col("md")).alias("md"))
+    return _normalized(spark, d)
 
 
 _SNIP = rf"coalesce(substr(list_extract(list_filter(list_transform(string_split(md, chr(10)), lambda l: {X.sql_strip('l')}), lambda l: length(l) >= 50), 1), 1, 200), {X.sql_strip('substr(md, 1, 200)')})"
@@ -115,10 +114,10 @@ def anchor_tokens(spark, d):
 
 
 @query(rf"""SELECT item_id, coalesce(nullif(regexp_replace({X.sql_strip(rf"regexp_replace({X.sql_strip('c')}, '{X.SPACE}+', ' ', 'g')")}, '[\[\]()]', '', 'g'), ''), 'image') AS alt
-  FROM (SELECT item_id, CASE item_id % 4 WHEN 0 THEN ' [' || substr(text, 1, 30) || '] ' || chr(10) || ' (x)' WHEN 1 THEN 'FIG_' || item_id WHEN 2 THEN '[]' ELSE substr(text, 1, 20) END AS c FROM benchmark)""")
+  FROM (SELECT item_id, CASE item_id % 4 WHEN 0 THEN ' [' || text || '] ' || chr(10) || ' (x)' WHEN 1 THEN 'FIG_' || item_id WHEN 2 THEN '[]' ELSE text END AS c FROM benchmark)""")
 def alt_text(spark, d):
     k = F.col("item_id") % 4
-    cap = F.when(k == 0, F.concat(F.lit(" ["), F.substring("text", 1, 30), F.lit("] \n (x)"))).when(k == 1, F.lit("")).when(k == 2, F.lit("[]")).otherwise(F.substring("text", 1, 20))
+    cap = F.when(k == 0, F.concat(F.lit(" ["), F.col("text"), F.lit("] \n (x)"))).when(k == 1, F.lit("")).when(k == 2, F.lit("[]")).otherwise(F.col("text"))
     return X.table(spark, d, "benchmark").select("item_id", T.alt_text(cap, F.concat(F.lit("FIG_"), F.col("item_id"))).alias("alt"))
 
 
@@ -137,18 +136,38 @@ def _lines(spark, d) -> DataFrame:
     return L.line_table(_normalized(spark, d))
 
 
-@query(rf"WITH {X.LINES}, p AS (SELECT doc_id, line, lag(blank) OVER w AS above, lag(off) OVER w AS spot FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY ln)) SELECT doc_id, spot FROM p WHERE above AND regexp_matches(line, '^(Figure|Table)([^\p{{L}}\p{{N}}_]|$)')")
-def caption_spots(spark, d):
-    return L.caption_spots(_lines(spark, d), ["Figure", "Table"])
+_KW = rf"regexp_matches(line, '^(Figure|Table)([^\p{{L}}\p{{N}}_]|$)')"
 
 
-@query(rf"""WITH {X.LINES}, c AS (SELECT doc_id, least(
-  CASE WHEN nf % 2 = 0 AND regexp_matches(line, '^{X.SPACE}{{0,3}}#{{1,6}}({X.SPACE}|$)') THEN off + length(line) END,
-  CASE WHEN nf % 2 = 0 AND regexp_matches(line, '^(-{{3,}}|\*{{3,}}|_{{3,}})[ \t]*$') THEN coalesce(min(CASE WHEN NOT blank THEN off END) OVER (PARTITION BY doc_id ORDER BY ln ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), size) END,
-  CASE WHEN nf % 2 = 0 AND blank AND ln > 0 AND lead(ln) OVER (PARTITION BY doc_id ORDER BY ln) IS NOT NULL THEN off - 1 END) AS a FROM lines)
-SELECT doc_id, CAST(coalesce(min(a), 0) AS INTEGER) AS brk FROM c GROUP BY doc_id""")
+@query(rf"""WITH {X.LINES}, p AS (SELECT doc_id, line, off, size, lag(blank) OVER w AS above, lag(off) OVER w AS spot FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY ln)),
+k AS (SELECT *, CASE WHEN starts_with(line, 'Figure') THEN 6 ELSE 5 END AS n FROM p WHERE above AND regexp_matches(line, '^(Figure|Table)'))
+SELECT doc_id, spot, 'all' AS part FROM p WHERE above AND {_KW}
+UNION ALL SELECT doc_id, spot, 'slice' FROM k WHERE spot >= size // 4 AND off + n <= size - size // 3 AND ({_KW} OR off + n = size - size // 3)""")
+def caption_spots(spark, d):
+    n = _normalized(spark, d)
+    part = n.withColumn("a", F.floor(F.length("md") / 4).cast("int")).withColumn("b", (F.length("md") - F.floor(F.length("md") / 3)).cast("int"))
+    words = ["Figure", "Table"]
+    return L.caption_spots(n, words).withColumn("part", F.lit("all")).unionByName(L.caption_spots(part, words, "a", "b").withColumn("part", F.lit("slice")))
+
+
+def _sql_breaks() -> str:
+    """Content breaks from each start on, over the lines of the rest of the text."""
+    key = "doc_id, start"
+    return rf"""WITH {X.NORM}, cut AS (SELECT doc_id, s AS start, substr(md, s + 1) AS md FROM (SELECT doc_id, md, unnest([0, length(md) // 3, length(md)]) AS s FROM norm)),
+raw AS (SELECT {key}, length(md) AS size, unnest(string_split(md, chr(10))) AS line, generate_subscripts(string_split(md, chr(10)), 1) - 1 AS ln FROM (SELECT DISTINCT * FROM cut)),
+l AS (SELECT *, coalesce(sum(length(line) + 1) OVER w, 0) AS off, regexp_replace(line, '{X.SPACE}+', '', 'g') = '' AS blank, coalesce(sum(CASE WHEN starts_with(line, '```') THEN 1 ELSE 0 END) OVER w, 0) % 2 = 0 AS free
+  FROM raw WINDOW w AS (PARTITION BY {key} ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT {key}, least(
+  CASE WHEN free AND regexp_matches(line, '^{X.SPACE}{{0,3}}#{{1,6}}({X.SPACE}|$)') THEN off + length(line) END,
+  CASE WHEN free AND ln > 0 AND regexp_matches(line, '^(-{{3,}}|\*{{3,}}|_{{3,}}){X.SPACE}*$') THEN coalesce(min(CASE WHEN NOT blank THEN off END) OVER (PARTITION BY {key} ORDER BY ln ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), size) END,
+  CASE WHEN free AND blank AND ln > 0 AND lead(ln) OVER (PARTITION BY {key} ORDER BY ln) IS NOT NULL THEN off - 1 END) AS a FROM l)
+SELECT doc_id, CAST(start AS INTEGER) AS start, CAST(start + coalesce(min(a), 0) AS INTEGER) AS brk FROM c GROUP BY {key}"""
+
+
+@query(_sql_breaks())
 def content_break(spark, d):
-    return L.content_breaks(_lines(spark, d)).withColumn("brk", F.col("brk").cast("int"))
+    n = _normalized(spark, d).withColumn("start", F.explode(F.array_distinct(F.array(F.lit(0), F.floor(F.length("md") / 3).cast("int"), F.length("md")))))
+    return n.select("doc_id", "start", L.content_break(F.col("md"), F.col("start")).alias("brk"))
 
 
 @query(f"WITH {X.LINES} SELECT doc_id, ln, nf % 2 = 1 AS inside FROM lines")
@@ -195,7 +214,7 @@ def page_bounds(spark, d):
 
 @query(f"WITH {X.RECTS} SELECT doc, page, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM rects GROUP BY doc, page")
 def bbox_union(spark, d):
-    return X.rectangles(spark, d).groupBy("doc", "page").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    return G.union_boxes(X.rectangles(spark, d), "doc", "page")
 
 
 @query(f"WITH {X.RECTS} SELECT a.doc, a.page, a.rid AS rid_a, b.rid AS rid_b FROM rects a JOIN rects b ON {X.SQL_TOUCH} AND a.rid < b.rid")
@@ -228,12 +247,15 @@ def figure_catalog(spark, d):
     return _catalog(spark, d).select("doc", "id", "imagepath", "filepath", "page", *(F.col("bbox")[i].alias(n) for i, n in enumerate(G.BOX)))
 
 
-@query()
+_ENTRY = """'{"id":"' || id || '","imagepath":"' || doc || '_images/' || id || '.png","filepath":"' || doc || '.pdf","page":' || page || ',"bbox":[' || x0 || ',' || y0 || ',' || x1 || ',' || y1 || ']}'"""
+
+
+@query(f"WITH {X.FIGURES} SELECT doc AS doc_id, '[' || string_agg({_ENTRY}, ',' ORDER BY page, id) || ']' AS json FROM cat GROUP BY doc")
 def catalog_json(spark, d):
     return S.catalog_json(_catalog(spark, d).withColumnRenamed("doc", "doc_id"))
 
 
-@query()
+@query(f"WITH {X.FIGURES} SELECT doc AS doc_id, id, doc || '_images/' || id || '.png' AS imagepath, doc || '.pdf' AS filepath, page, [x0, y0, x1, y1] AS bbox, CAST(NULL AS VARCHAR) AS caption FROM cat")
 def catalog_load(spark, d):
     return S.catalog_load(S.catalog_json(_catalog(spark, d).withColumnRenamed("doc", "doc_id")))
 
@@ -276,7 +298,12 @@ def place_figures(spark, d):
 
 @query(f"WITH {X.HEADERS} SELECT doc_id, ln, lvl, h1, h2, h3, h4 FROM hd")
 def header_path(spark, d):
-    return L.header_lines(_lines(spark, d)).select("doc_id", "ln", "lvl", "h1", "h2", "h3", "h4")
+    return L.header_lines(_normalized(spark, d))
+
+
+def _place(rows: DataFrame) -> DataFrame:
+    """The last place of a path as a number."""
+    return rows.withColumn("pos", F.element_at("pos", -1).cast("long"))
 
 
 def _flat(rows: DataFrame) -> DataFrame:
@@ -285,27 +312,27 @@ def _flat(rows: DataFrame) -> DataFrame:
 
 @query(f"WITH {X.SECTIONS} SELECT doc_id, pos, page_content, h1, h2, h3, h4 FROM sections")
 def header_split(spark, d):
-    return _flat(C.header_split(_normalized(spark, d), 4))
+    return _flat(_place(C.header_split(_normalized(spark, d), 4)))
 
 
 @query(f"WITH {X.NORM} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS BIGINT) AS pos, substr(md, s + 1, 1000) AS page_content FROM (SELECT doc_id, md, unnest(range(0, greatest(1, length(md) - 200), 800)) AS s FROM norm WHERE length(md) > 0)")
 def window_chunks(spark, d):
-    return C.window_split(C.whole(_normalized(spark, d)), 1000, 200).drop("headers")
+    return _place(C.window_split(C.whole(_normalized(spark, d)), 1000, 200)).drop("headers")
 
 
 @query(rf"WITH {X.NORM}, t AS (SELECT doc_id, regexp_extract_all(md, '[\p{{L}}\p{{N}}_]+') AS w FROM norm) SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS BIGINT) AS pos, array_to_string(list_slice(w, s + 1, s + 100), ' ') AS page_content FROM (SELECT doc_id, w, unnest(range(0, greatest(1, len(w) - 20), 80)) AS s FROM t WHERE len(w) > 0)")
 def token_window_chunks(spark, d):
-    return C.token_split(C.whole(_normalized(spark, d)), 100, 20).drop("headers")
+    return _place(C.token_split(C.whole(_normalized(spark, d)), 100, 20)).drop("headers")
 
 
 @query()
 def recursive_split(spark, d):
-    return C.recursive_split(C.whole(_normalized(spark, d)), 1000, 200).drop("headers")
+    return _place(C.recursive_split(C.whole(_normalized(spark, d)), 1000, 200)).drop("headers")
 
 
 @query()
 def semantic_split(spark, d):
-    return C.semantic_split(C.whole(_normalized(spark, d)), 1000).drop("headers")
+    return _place(C.semantic_split(C.whole(_normalized(spark, d)), 1000)).drop("headers")
 
 
 def _file(doc="doc_id"):
@@ -329,7 +356,7 @@ def chunk_metadata(spark, d):
 
 @query(f"WITH {X.CHUNKS} SELECT filename, min(chunk_idx) AS first, max(chunk_idx) AS last FROM chunks GROUP BY 1")
 def chunk_index(spark, d):
-    return _chunks(spark, d).groupBy("filename").agg(F.min("chunk_idx").alias("first"), F.max("chunk_idx").alias("last"))
+    return C.chunk_range(_chunks(spark, d))
 
 
 @query(f"WITH {X.CHUNKS} SELECT 'out/doc_' || d.doc_id || '.md' AS filename, count(c.filename) AS n_chunks FROM documents d LEFT JOIN chunks c ON c.doc_id = d.doc_id GROUP BY 1")
@@ -374,10 +401,10 @@ def etl_status_counts(spark, d):
     return M.status_counts(X.table(spark, d, "labels"), F.col("quality") == 1)
 
 
-@query("SELECT conv_id, max(turn) + 1 AS n_pages, 'org_model' AS model, 'doc_' || conv_id || '_images' AS image_folder FROM conversations GROUP BY conv_id")
+@query("SELECT 'doc_' || conv_id || '.pdf' AS filename, 'in/doc_' || conv_id || '.pdf' AS filepath, 'out/doc_' || conv_id || '.md' AS md_filepath, max(turn) + 1 AS n_pages, 'out/doc_' || conv_id || '_images' AS image_folder, 'org_model' AS model FROM conversations GROUP BY conv_id")
 def doc_metadata(spark, d):
-    c = X.table(spark, d, "conversations").groupBy("conv_id").agg((F.max("turn") + 1).alias("n_pages"))
-    return c.select("conv_id", "n_pages", T.model_slug(F.lit("org/model")).alias("model"), F.concat(F.lit("doc_"), F.col("conv_id"), F.lit("_images")).alias("image_folder"))
+    pages = X.table(spark, d, "conversations").select(F.concat(F.lit("doc_"), F.col("conv_id"), F.lit(".pdf")).alias("filename"), (F.col("turn") + 1).alias("page"))
+    return M.document_metadata(pages, "in", "out", "org/model")
 
 
 # ---- index
@@ -418,7 +445,7 @@ def index_upsert(spark, d):
 
 @query(f"WITH {_SNAP} SELECT count(*) AS n FROM base")
 def index_size(spark, d):
-    return _snapshots(spark, d)[0].agg(F.count("*").alias("n"))
+    return I.index_size(_snapshots(spark, d)[0])
 
 
 @query("""WITH o AS (SELECT n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'cosine' ELSE 'l2' END AS distance, 'm' AS model, 'flat' AS t FROM nation),
@@ -466,11 +493,10 @@ bm AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 
 def _bm25(spark, d, k):
     docs = X.table(spark, d, "documents")
-    posts = I.postings(docs)
-    words = lambda t: F.regexp_extract_all(F.lower(t), F.lit(f"{T.WORD}+"), F.lit(0))
-    n, avg = docs.agg(F.count("*"), F.avg(F.size(words("text")))).first()
-    q = X.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(words("text")).alias("term"))
-    return I.bm25(posts, n, avg, q, k)
+    posts = I.postings(docs).persist()  # a stored index has them, and their sums, on disk
+    n, total = docs.count(), posts.agg(F.sum("tf")).first()[0]
+    q = X.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(I.words("text")).alias("term"))
+    return I.bm25(posts, n, total / n, q, k)
 
 
 @query(f"WITH {_POSTS} SELECT * FROM posts")

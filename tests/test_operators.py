@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.operators import chunking as C
-from docloom.operators.index import Index, knn, registry_merge
-from docloom.plans.etl import Config, chunks, splitter_chain
+from docloom.functions import lines as L
+from docloom.operators import figures as G
+from docloom.operators.index import Index, Registry, knn, registry_merge
+from docloom.plans.etl import Config, chunks, model_names, splitter_chain
 from docloom.queries import QUERIES
 from docloom.sources import files as S
 from docloom.streaming.upsert import stream_upserts, windowed_counts
@@ -88,9 +90,164 @@ def test_splitter_chains():
     assert [s["splitter"] for s in splitter_chain("recursive", True, 3)] == ["markdown", "recursive"]
     with pytest.raises(ValueError):
         splitter_chain("unknown")
+
+
+CONFIG = {
+    "app": {
+        "indexing": {"name": "docs", "description": "d", "type": "faiss", "distance": "cosine", "alias": "x"},
+        "embeddings": {"deployment": "org/model", "ollama": True, "kwargs": {}},
+        "preprocessing": {
+            "storage": {"parent_folder": "data", "input_folder": "in", "output_folder": "md", "allowed_extensions": ["pdf"]},
+            "images": {"dpi": 200, "tol": 40.0, "pad": 16.0, "caption_keywords": ["Figure"]},
+            "chunking": {"markdown_first": True, "header_levels": 4, "splitter": "recursive", "chunk_size": 1000, "chunk_overlap": 200},
+        },
+    }
+}
+
+
+def test_configurations(spark):
+    for app in ("app", None):
+        c = Config.load(json.dumps(CONFIG), app)
+        assert (c.source, c.folder, c.allowed, c.model, c.kind, c.distance, c.tol) == ("data/in", "data/md", ["pdf"], "org/model", "flat", "cosine", 40.0)
+        assert c.stages == [{"splitter": "markdown", "header_levels": 4}, {"splitter": "recursive", "chunk_size": 1000, "chunk_overlap": 200}]
+    for path, value in ((("indexing", "distance"), "hamming"), (("indexing", "type"), "other"), (("indexing", "colour"), "red"), (("preprocessing", "chunking", "splitter"), "unknown"), (("preprocessing", "storage", "allowed_extensions"), ["exe"])):
+        bad = json.loads(json.dumps(CONFIG))
+        at = bad["app"]
+        for k in path[:-1]:
+            at = at[k]
+        at[path[-1]] = value
+        with pytest.raises(ValueError):
+            Config.load(json.dumps(bad))
+    with pytest.raises(ValueError):
+        Config.load("{}")
     with pytest.raises(ValueError):
-        Config.load('{"distance": "hamming"}')
-    assert Config.load('{"a": {"folder": "x", "chunking": {"splitter": "window"}}}', "a").stages[0]["splitter"] == "window"
+        Config.load(json.dumps(CONFIG), "missing")
+    several = json.loads(json.dumps(CONFIG))
+    several["app"]["embeddings"]["deployment"] = ["b", "a/b", "no good", "b"]
+    rows = spark.createDataFrame([(json.dumps(CONFIG),), (json.dumps(several),), ("{}",)], "json string")
+    assert [r.name for r in model_names(rows, "app").collect()] == ["a/b", "b", "org/model"]
+
+
+def test_splitters_can_be_added(spark):
+    C.register_splitter("halves", lambda rows, s: C._spread(rows, F.array(F.substring("page_content", 1, s["at"]), F.substring("page_content", s["at"] + 1, 10**6))))
+    try:
+        assert splitter_chain("halves")[0]["splitter"] == "halves"
+        got = C.chunk_metadata(C.split_chain(spark.createDataFrame([(1, "abcdef")], "doc_id long, md string"), [{"splitter": "halves", "at": 2}]), F.lit("f")).collect()
+        assert [r.page_content for r in sorted(got, key=lambda r: r.chunk_idx)] == ["ab", "cdef"]
+        with pytest.raises(ValueError):
+            C.register_splitter("halves", None)
+    finally:
+        del C.SPLITTERS["halves"]
+
+
+def test_order_holds_over_a_million_pieces(spark):
+    rows = C._spread(C.whole(spark.createDataFrame([(1, "x")], "doc_id long, md string")), F.transform(F.sequence(F.lit(0), F.lit(1_000_001)), lambda i: i.cast("string")))
+    last = C._spread(rows.where("page_content >= '1000000' or page_content = '2'"), F.array("page_content"))
+    got = [r.page_content for r in C.chunk_metadata(last, F.lit("f")).orderBy("chunk_idx").collect()]
+    assert got.index("2") < got.index("1000000") < got.index("1000001")
+
+
+def test_batches_of_an_embedding_model(spark):
+    embed = C.embedder(lambda: lambda texts: [[len(t), len(texts) > 0] for t in texts])
+    got = spark.createDataFrame([("ab",), (None,)], "t string").select(embed("t").alias("v")).collect()
+    assert sorted(r.v for r in got) == [[0.0, 1.0], [2.0, 1.0]]
+
+
+def test_sinks(spark, tmp_path):
+    docs = spark.createDataFrame([("a.b.pdf", "# Hé"), ("c.pdf", ""), ("d.pdf", None)], "filename string, md string")
+    for _ in range(2):
+        assert S.write_markdown(docs, str(tmp_path / "md")) == 2
+    assert {p.name: p.read_text() for p in (tmp_path / "md").iterdir()} == {"a.b.md": "# Hé", "c.md": ""}
+    assert sorted(r.md for r in S.read_markdown(spark, str(tmp_path / "md" / "a*.md")).collect()) == ["# Hé"]
+    entries = [("d1", "FIG_001_01", "d1/FIG_001_01.png", "d1.pdf", 1, [0.0, 0.0, 36.0, 72.5], None), ("d1", "FIG_002_01", "d1/FIG_002_01.png", "d1.pdf", 2, [0.0] * 4, "é")]
+    catalog = spark.createDataFrame(entries, "doc_id string, id string, imagepath string, filepath string, page int, bbox array<double>, caption string")
+    assert S.write_catalogs(catalog, str(tmp_path / "cat")) == 1
+    text = (tmp_path / "cat" / "d1.json").read_text()
+    assert text.startswith('[\n  {\n    "id": "FIG_001_01"') and "é" in text and json.loads(text)[0].keys() == {"id", "imagepath", "filepath", "page", "bbox"}
+    assert S.load_catalogs(spark, str(tmp_path / "cat")).count() == 2
+    stored, two = S.catalog_json(catalog), spark.createDataFrame([("d1",), ("d2",)], "doc_id string")
+    assert S.catalogs(two, stored, lambda d: d.select("doc_id", *(F.lit(None).cast(f.dataType).alias(f.name) for f in S.CATALOG.fields))).count() == 3
+    assert S.catalogs(two.where("doc_id = 'd1'"), stored).count() == 2
+    with pytest.raises(Exception, match="no catalog of d2"):
+        S.catalogs(two, stored).collect()
+    assert [(r.width, r.height) for r in S.render_sizes(catalog, 200).orderBy("page").collect()] == [(100, 202), (0, 0)]
+    assert S.write_figures(catalog, lambda f, p, b, dpi: f"{f} {p} {dpi}".encode(), str(tmp_path / "img"), 72) == 2
+    assert (tmp_path / "img" / "d1" / "FIG_002_01.png").read_bytes() == b"d1.pdf 2 72"
+    path = S.write_metadata(spark.createDataFrame([("a", None, 3)], "filename string, note string, n_pages int"), str(tmp_path), "org/model")
+    assert path.endswith("documents_metadata_org_model.json") and spark.read.json(path).first().asDict() == {"filename": "a", "n_pages": 3}
+
+
+MARKDOWN = st.lists(st.sampled_from(["", " ", "\t", "text", "# head", "   ## two", "    # deep", "#no", "---", "*** ", "____", "--", "```", "```py", "Figure 1", "Figures", " Figure", "Table", "\u00a0", "a # b"]), max_size=14).map("\n".join)
+
+
+def least_break(md, start):
+    """Independent form: all candidates by regular expressions, then the least."""
+    s = md[start:]
+    free = lambda at: len(re.findall(r"(?m)^```", s[:at])) % 2 == 0
+    found = [m.start() for m in re.finditer(r"\n(?=\s*\n)", s) if free(m.start())]
+    found += [m.end() for m in re.finditer(r"\n(?:-{3,}|\*{3,}|_{3,})\s*(?:\n|$)", s) if free(m.start())]
+    found += [m.end() for m in re.finditer(r"(?m)^(?:(?!\n)\s){0,3}#{1,6}(?:(?!\n)\s.*)?$", s) if free(m.start())]
+    return start + min(found) if found else start
+
+
+@settings(max_examples=600, deadline=None)
+@given(MARKDOWN, st.integers(0, 60))
+def test_breaks_are_the_least_candidate(md, start):
+    start = min(start, len(md) + 2)
+    assert L.find_break(md, start) == least_break(md, start)
+
+
+@settings(max_examples=300, deadline=None)
+@given(MARKDOWN, st.integers(0, 40), st.integers(0, 60))
+def test_captions_in_a_slice(md, start, stop):
+    want = []
+    at = 0
+    lines = md.split("\n")
+    for a, b in zip(lines, lines[1:]):
+        nxt = at + len(a) + 1
+        word = re.match(r"(Figure|Table)", b)
+        if not a.strip(" \t") and word and at >= start and nxt + word.end() <= stop and (nxt + word.end() == stop or not re.match(r"\w", b[word.end() :])):
+            want.append(at)
+        at = nxt
+    assert L.find_captions(md, ["Figure", "Table"], start, stop) == want
+
+
+def test_break_of_a_rule_with_a_blank_line_behind():
+    assert L.find_break("a\n---\n\nfoo") == 5 and L.find_break("a\n---\nfoo") == 6 and L.find_break("x", 7) == 7
+
+
+@settings(max_examples=200, deadline=None)
+@given(MARKDOWN, st.lists(st.tuples(st.integers(1, 3), st.integers(0, 3)), max_size=6))
+def test_figures_are_placed_page_by_page(md, figs):
+    third = len(md) // 3
+    rows = [{"page": p, "start": (p - 1) * third, "stop": p * third if p < 3 else len(md), "y0": float(y), "id": f"F{i}", "txt": f"<{i}>"} for i, (p, y) in enumerate(figs)]
+    got = G.find_places(md, rows, ["Figure"])
+    want, used, cursor = [], set(), {}
+    for r in sorted(rows, key=lambda r: (r["page"], r["y0"], r["id"])):
+        spots = [s for s in L.find_captions(md, ["Figure"], r["start"], r["stop"]) if (r["page"], s) not in used]
+        if spots:
+            used.add((r["page"], spots[0]))
+            want.append((spots[0], r["txt"]))
+        else:
+            at = least_break(md, cursor.get(r["page"], r["start"]))
+            cursor[r["page"]] = at + len(r["txt"])
+            want.append((at, r["txt"]))
+    assert [(a, t) for a, _, t in got] == want and [n for _, n, _ in got] == list(range(len(got)))
+
+
+def test_placement_of_nothing_and_the_inserted_line(spark):
+    fig = "array<struct<page: int, start: int, stop: int, y0: double, id: string, imagepath: string, caption: string>>"
+    one = [(1, 0, 3, 0.0, "FIG_001_01", "i/x.png", None)]
+    pages = spark.createDataFrame([(1, None, one), (2, "abc", None), (3, "abc", one), (4, "", [])], f"doc_id long, md string, figures {fig}")
+    got = G.place_figures(pages, ["Figure"]).collect()
+    assert [tuple(r) for r in got] == [(3, 0, 0, "\n\n![FIG_001_01](i/x.png) <!-- FIG_001_01 -->\n")]
+
+
+def test_page_anchors_equal_a_search(spark):
+    docs = spark.createDataFrame([(1, "One two. three four\nthree, four five six"), (2, None), (3, "")], "doc_id long, md string")
+    pages = spark.createDataFrame([(1, 1, "One two"), (1, 2, "three four five"), (1, 3, "gone"), (1, 4, "One"), (1, 5, "!!"), (2, 1, "x"), (4, 2, "y")], "doc_id long, page int, text string")
+    got = sorted(map(tuple, G.page_anchors(docs, pages).collect()))
+    assert got == [(1, 1, -1), (1, 2, 19), (1, 3, 19), (1, 4, 19), (1, 5, 19), (2, 1, -1), (4, 2, -1)]
 
 
 def test_header_splitter_must_come_first(spark):
@@ -139,10 +296,56 @@ def test_index_life(spark, tmp_path):
 def test_a_half_written_version_is_not_read(spark, tmp_path):
     index = Index(spark, str(tmp_path / "ix"))
     index.create(rows_of(spark, "a"))
-    (tmp_path / "ix" / "v7").mkdir()
+    (tmp_path / "ix" / "rows" / "index_edit=v7-dead" / "index_segment=0").mkdir(parents=True)
     assert index.version() == 0 and index.count() == 1
+    before = index.load()
     index.add(rows_of(spark, "b"))
     assert index.version() == 1 and index.count() == 2
+    assert before.count() == 1 and index.load(0).count() == 1  # readers keep what they began with
+    index.delete(rows_of(spark, "a"))
+    index.vacuum(1)
+    assert index.count() == index.load().count() == 1 and not (tmp_path / "ix" / "rows" / "index_edit=v7-dead").exists()
+
+
+def test_an_edit_writes_only_the_segments_that_it_touches(spark, tmp_path):
+    index = Index(spark, str(tmp_path / "ix"), segments=64)
+    index.create(rows_of(spark, *(f"f{i}" for i in range(100))))
+    old = index._manifest()["segments"]
+    index.upsert(rows_of(spark, "f1").select("filename"), rows_of(spark, "f1", "f1"))
+    new = index._manifest()["segments"]
+    assert sum(old[k] != new[k] for k in old) == 1 and index.count() == 101
+
+
+def test_search_by_all_modes(spark, tmp_path):
+    texts = {"a": "the red fox jumps", "b": "a blue whale sings", "c": "red red wine", "d": "completely other words here"}
+    rows = spark.createDataFrame([(n, 0, t) for n, t in texts.items()], "filename string, chunk_idx int, page_content string")
+    index = Index(spark, str(tmp_path / "ix"), kind="hybrid", embed=C.hash_embed, segments=3)
+    assert index.open(rows) is index
+    norms = [sum(x * x for x in r.embedding) for r in index.load().collect()]
+    assert all(abs(n - 1) < 1e-9 for n in norms)
+    posts = {(r.term, r.tf, r.dl) for r in index.postings().collect()}
+    assert ("red", 2, 3) in posts and ("red", 1, 4) in posts
+    asked = spark.createDataFrame([(1, "red wine"), (2, "whale")], "query_id long, text string")
+    for mode in Index.MODES:
+        first = {r.query_id: r.filename for r in index.search(asked, 2, mode).collect() if r.rank == 1}
+        assert first == {1: "c", 2: "b"}, mode
+    index.delete(spark.createDataFrame([("c",)], "filename string"))
+    assert {r.filename for r in index.search(asked, 4, "sparse").where("query_id = 1").collect()} == {"a"}
+    with pytest.raises(ValueError):
+        Index(spark, str(tmp_path / "x")).search(asked, 1, "sparse")
+    with pytest.raises(ValueError):
+        Index(spark, str(tmp_path / "x"), mode="hybrid")
+    with pytest.raises(FileNotFoundError):
+        Index(spark, str(tmp_path / "x")).open()
+
+
+def test_stored_registry(spark, tmp_path):
+    schema = "name string, distance string, model string, types array<string>"
+    r = Registry(spark, str(tmp_path / "reg"))
+    assert r.load().count() == 0
+    r.merge(spark.createDataFrame([("a", "cosine", "m", ["flat"])], schema))
+    r.merge(spark.createDataFrame([("a", "cosine", "m", ["hybrid"]), ("b", "euclidean", "m", ["flat"])], schema))
+    assert sorted((x.name, tuple(x.types)) for x in r.load().collect()) == [("a", ("flat", "hybrid")), ("b", ("flat",))]
 
 
 def test_stream_of_documents_replaces_files(spark, tmp_path):
@@ -169,7 +372,7 @@ def test_windowed_counts_close_with_the_watermark(spark, tmp_path):
 def test_search_in_groups_equals_search_at_once(spark, sf_dir):
     v = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     q = v.where("vec_id % 100 = 0")
-    a, b = (sorted(map(tuple, knn(v, q, 3, most=n).collect())) for n in (10_000, 2))
+    a, b = (sorted(map(tuple, knn(v, q, 3, query_bytes=n).collect())) for n in (1 << 26, 1000))
     assert a == b and len(a) == 3 * q.count()
 
 
