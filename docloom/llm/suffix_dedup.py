@@ -15,7 +15,8 @@ occurrence of a least k-gram overlap and travel as one segment.
    the last round share 100 bytes: they are the repeated intervals, whole equal segments included.
 4. The answers return to the blocks, which cut the covered bytes out of their documents.
 
-Symbols are 20-byte grams, each segment giving 20 phases, so that five rounds reach 100 bytes.
+Symbols are 50-byte grams, each segment giving 50 phases, so that two rounds reach 100 bytes; shorter ones
+need more rounds and give the same result.
 What blocks send is distinct within the block, so that a passage in a third of all documents costs
 one row a block. Only a k-gram with more than `hot` segments would crowd its bucket: if they are all
 equal, their 64-bit content hashes decide, else they are dealt out anew by the content of each
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from . import bytecode as B
 from .common import internal, width
 
-SPAN, GRAM, SYMBOL = 100, 40, 20
+SPAN, GRAM, SYMBOL = 100, 40, 50
 MADE = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
 _STEP, _MASK = 1 << 18, np.uint64((1 << 20) - 1)
 
@@ -253,7 +254,7 @@ def merge_transforms(symbol: np.ndarray, before: np.ndarray, shards: list[np.nda
     total = sum(map(len, shards))
     cat = np.concatenate(shards)
     bwt = symbol[before[cat]].astype(np.int32)
-    from_shard = np.repeat(np.arange(len(shards)), [len(s) for s in shards]).astype(np.uint16 if len(shards) < 65536 else np.int64)
+    from_shard = np.repeat(np.arange(len(shards)), [len(s) for s in shards]).astype(np.uint8 if len(shards) < 256 else np.uint16 if len(shards) < 65536 else np.int64)
     z, group = from_shard, np.zeros(total, np.int32)
     lcp = np.full(total, depth, np.int16)
     for done in range(depth):

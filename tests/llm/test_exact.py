@@ -107,6 +107,23 @@ def test_merged_transforms_are_sorted_with_common_prefixes(shards):
     assert len(text) == n
 
 
+def test_symbols_of_any_length_give_the_same_repeats():
+    rng = random.Random(15)
+    passages = [prose(rng, 30).encode() for _ in range(3)]
+    parts = [b"".join(rng.choice(passages)[rng.randrange(40) :] for _ in range(2))[: rng.randrange(110, 250)] for _ in range(40)] + [b"ab" * 80, b"ab" * 70]
+    size = np.array([len(x) - 99 for x in parts])
+    rank = np.array(rng.sample(range(len(parts)), len(parts)))
+    first, want = {}, []
+    for i, x in enumerate(parts):
+        for w in {x[j : j + 100] for j in range(size[i])}:
+            first[w] = min(first.get(w, rank[i]), rank[i])
+    for i, x in enumerate(parts):
+        want += [rank[i] > first[x[j : j + 100]] for j in range(size[i])]
+    body = np.frombuffer(b"".join(parts), np.uint8)
+    for q in (10, 20, 25, 50):
+        assert suffix_dedup.repeats(body, size, rank, q=q, shard_bytes=1000).tolist() == want
+
+
 # ---- near duplicates
 
 
