@@ -65,4 +65,32 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE = {"op5_license": license_scan.oracle(), "op9_topk": _TOP_K}
+#: Every 100-byte string of every text; a string that is not the first of its kind covers its bytes.
+_REPEATS = """
+WITH d AS (SELECT doc_id, coalesce(encode(text), ''::BLOB) AS b FROM documents),
+w AS (SELECT doc_id, i, b[i:i + 99] AS s FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 98)) AS i FROM d WHERE octet_length(b) >= 100)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w) WHERE k > 1),
+cut AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER o + 100 THEN 1 ELSE 0 END AS new FROM again WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 99 AS z FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM cut) GROUP BY doc_id, g),
+gaps AS (SELECT doc_id, coalesce(lag(z) OVER o, 0) + 1 AS a, r.a - 1 AS z FROM runs r WINDOW o AS (PARTITION BY doc_id ORDER BY r.a)
+  UNION ALL SELECT doc_id, max(z) + 1, 2147483647 FROM runs GROUP BY doc_id),
+kept AS (SELECT doc_id, coalesce(string_agg(hex(b[gaps.a:gaps.z]), '' ORDER BY gaps.a) FILTER (gaps.z >= gaps.a), '') AS h FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, CAST(sum(z - a + 1) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(coalesce(unhex(h), b)) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+#: All pairs of documents that share a shingle, then all documents that are reachable over links.
+_NEAR = """
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS sh FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS doc_id, b AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, least(t.doc_id, coalesce(m.least, t.doc_id)) AS component_id, t.doc_id = least(t.doc_id, coalesce(m.least, t.doc_id)) AS kept
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS least FROM r GROUP BY doc_id) m USING (doc_id)
+"""
+
+ORACLE = {"op1_suffix_dedup": _REPEATS, "op3_minhash": _NEAR, "op5_license": license_scan.oracle(), "op9_topk": _TOP_K}
