@@ -389,19 +389,28 @@ def grams(w, k):
 
 
 def brute_matches(docs, items):
+    """All windows of each document against each item, their common shingles counted as the window moves."""
     out = set()
     for d, t in docs:
         w = decontam_words(t)
+        have = {k: [tuple(w[i : i + k]) for i in range(len(w) - k + 1)] for k in range(1, decontam.SIZE + 1)}
+        every = {k: set(v) for k, v in have.items()}
         for i, x in items:
             iw = decontam_words(x)
             k = min(decontam.SIZE, len(iw))
-            if not iw or len(w) < k:
+            want = grams(iw, k) if iw else {}
+            if not want or len(w) < k or not every[k] & want.keys():
                 continue
-            want, m = grams(iw, k), min(len(iw), len(w))
-            for s in range(len(w) - m + 1):
-                got = grams(w[s : s + m], k)
-                both = sum((got & want).values())
-                if both * 100 >= 80 * (sum(got.values()) + sum(want.values()) - both):
+            n = min(len(iw), len(w)) - k + 1
+            got, both = Counter(), 0
+            for e, g in enumerate(have[k]):
+                got[g] += 1
+                both += got[g] <= want[g]
+                if e >= n:
+                    old = have[k][e - n]
+                    both -= got[old] <= want[old]
+                    got[old] -= 1
+                if e >= n - 1 and both * 100 >= 80 * (n + sum(want.values()) - both):
                     out.add((d, i))
                     break
     return out
