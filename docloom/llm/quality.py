@@ -112,7 +112,7 @@ def _scorer(model):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", sample_rows: int = 6000, sample_bytes: int = 32 << 20) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", sample_rows: int = 4000, sample_bytes: int = 32 << 20) -> tuple[np.ndarray, float]:
     """A model from labelled rows where train_on holds, whole texts; rows whose label is null teach nothing.
 
     Of those rows the sample_rows of least hash are taken, in that order, and of these all but such as

@@ -137,7 +137,7 @@ def _scorer(model):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", sample_rows: int = 6000, sample_bytes: int = 32 << 20) -> Chain:
+def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, str], train_on: str = "crc32(cast(doc_id as string)) % 5 <> 0", sample_rows: int = 4000, sample_bytes: int = 32 << 20) -> Chain:
     """A chain over `categories` (name: SQL condition over labels, in chain order); a condition that is null counts as false.
 
     Of the labelled rows where train_on holds the sample_rows of least hash are taken, in that order, and
