@@ -127,9 +127,15 @@ def words(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"{WORD}+"), F.lit(0))
 
 
-def postings(chunks: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(term, key, tf, dl): the inverted index of lower-cased words."""
+def postings(chunks: DataFrame, key: str = "doc_id", text: str = "text", only: DataFrame | None = None, most: int = 1_000_000) -> DataFrame:
+    """(term, key, tf, dl): the inverted index of lower-cased words, or of those in `only` (term).
+
+    At most `most` terms of `only` are sent to the documents, more are joined.
+    """
     terms = chunks.select(key, words(text).alias("w")).select(key, F.size("w").alias("dl"), F.explode("w").alias("term"))
+    if only is not None:
+        asked = only.select("term").distinct()
+        terms = terms.join(F.broadcast(asked) if asked.limit(most + 1).count() <= most else asked, "term", "left_semi")
     return terms.groupBy(key, "term", "dl").agg(F.count("*").alias("tf"))
 
 
