@@ -9,6 +9,10 @@
    pair at the threshold is given up with a probability of `miss` at most.
 4. Survivors are verified exactly on their full shingle sets. A block returns a spanning forest of
    its links, never its pairs, so copies do not multiply rows.
+5. A cluster of more than one block is first compared within its parts only, each with HUBS sets of
+   the cluster among it, which join near copies of all parts in one component. Only sets outside the
+   cluster's largest component are then compared with the whole cluster: within that component
+   every further link would join what is joined already.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from . import bytecode as B
 from .common import components, durable, internal
 
 BANDS, ROWS, BATCH = 24, 4, 16
+HUBS = 8
 _MUL = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 
 
@@ -211,23 +216,43 @@ def _found(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1
     clusters = components(stars).withColumnRenamed("root", "cluster")
     # a class goes by the least doc_id in it, so that the least name that it reaches names the component
     name = F.struct(F.col("label").isNull().alias("none"), "label", "node")
-    named = durable(classes.select("node", "label").join(clusters, "node").select("node", "label", name.alias("name"), "cluster"))
+    named = durable(classes.select("node", "label").join(clusters, "node").select("node", name.alias("name"), "cluster"))
     sizes = named.groupBy("cluster").agg(F.count("*").alias("n")).select("cluster", F.ceil(F.col("n") / block).cast("int").alias("chunks"))
+    named = durable(named.join(sizes, "cluster"))
     bins = max(1, named.count() // 512)
-    some = named.select(F.col("label").alias("doc_id")).distinct()
-    texts = pair.join(some, pair.doc_id.eqNullSafe(some.doc_id), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets(shingle), "node long, members binary").dropDuplicates(["node"]).join(named.drop("label"), "node").join(sizes, "cluster")
-    part = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    many = F.col("chunks") > 1
-    blocks = (
-        sets.withColumn("part", part)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .withColumn("i", F.least("part", "other"))
-        .withColumn("j", F.greatest("part", "other"))
-        .withColumn("grp", F.when(many, F.xxhash64("cluster", "i", "j")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins))))
-        .select("grp", "node", "name", "cluster", "part", "i", "j", "members")
-    )
-    links = blocks.groupBy("grp", F.when(F.col("i") == F.col("j"), 0).otherwise(1).alias("kind")).applyInArrow(_blocks(percent, 100, miss), f"a {_NAME}, b {_NAME}")
+    compared = f"a {_NAME}, b {_NAME}"
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        """The links that the blocks of rows (node, name, cluster, chunks, part, i, j) hold."""
+        some = rows.select(F.col("name.label").alias("doc_id")).distinct()
+        texts = pair.join(some, pair.doc_id.eqNullSafe(some.doc_id), "left_semi").select("text")
+        sets = texts.mapInArrow(_sets(shingle), "node long, members binary").dropDuplicates(["node"])
+        grp = F.when(F.col("chunks") > 1, F.xxhash64("cluster", "i", "j")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins)))
+        put = sets.join(rows, "node").select(grp.alias("grp"), "node", "name", "cluster", "part", "i", "j", "members")
+        return durable(put.groupBy("grp", F.when(F.col("i") == F.col("j"), 0).otherwise(1).alias("kind")).applyInArrow(_blocks(percent, 100, miss), compared))
+
+    # first each part by itself, with the hubs of its cluster among it
+    nodes = named.select("node", "name", "cluster", "chunks")
+    own = nodes.withColumn("part", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    big = own.where("chunks > 1")
+    hubs = big.groupBy("cluster", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(HUBS))).agg(F.min_by(F.struct(*nodes.columns), F.col("node")).alias("hub")).select("hub.*")
+    spread = hubs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    links = blocks(own.unionByName(spread).distinct().withColumn("i", F.col("part")).withColumn("j", F.col("part")))
+    if not big.isEmpty():
+        # then what the largest component of a large cluster has not taken in, against all of the cluster
+        inside = big.select("node", "cluster").join(links.select(F.col("a.node").alias("node"), F.col("b.node").alias("b")), "node")
+        roots = components(inside.select(F.col("node").alias("a"), "b"))
+        reached = durable(big.drop("part").join(roots, "node", "left"))
+        main = reached.where("root IS NOT NULL").groupBy("cluster", "root").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+        sided = reached.join(main, "cluster", "left").withColumn("rest", ~F.col("root").eqNullSafe(F.col("main")) | F.col("main").isNull())
+        n_rest, n_main = F.count(F.when(F.col("rest"), 1)), F.count(F.when(~F.col("rest"), 1))
+        counts = sided.groupBy("cluster").agg(F.ceil(n_rest / block).cast("int").alias("rests"), F.ceil(n_main / block).cast("int").alias("mains")).where("rests > 0")
+        spot = F.xxhash64("node")
+        part = F.when(F.col("rest"), F.pmod(spot, F.col("rests"))).otherwise(F.col("rests") + F.pmod(spot, F.col("mains"))).cast("int")
+        other = F.when(F.col("rest"), F.col("rests") + F.col("mains")).otherwise(F.col("rests")) - 1
+        across = sided.join(counts, "cluster").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), other)))
+        across = across.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
+        links = links.unionByName(blocks(across.select(*own.columns, "i", "j")))
     least = components(links).select(F.col("node.node").alias("node"), F.col("root.label").alias("least"), F.lit(True).alias("linked"))
     final = durable(classes.select("node", "label").join(least, "node", "left").select("node", F.when(F.col("linked"), F.col("least")).otherwise(F.col("label")).alias("component")))
     # one row for each class on the right, so that adaptive execution can split a class of many copies

@@ -177,6 +177,22 @@ def test_near_duplicates_equal_brute_force(spark, shingle, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows)
 
 
+def test_large_cluster_with_drifting_copies_equals_brute_force(spark):
+    rng = random.Random(8)
+    base = prose(rng, 90).split()
+    rows, w = [], list(base)
+    for n in range(60):  # near copies of one text, and a chain that drifts away from it
+        c = list(base)
+        for _ in range(rng.randrange(6)):
+            c[rng.randrange(len(c))] = f"e{rng.randrange(99)}"
+        w[rng.randrange(len(w))] = f"d{n}"
+        rows += [(2 * n, " ".join(c)), (2 * n + 1, " ".join(w))]
+    want = brute_components(rows, 4)
+    assert 1 < len({c for _, c in want.values()})
+    got = minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), shingle=4, block=7).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_near_duplicates_equal_brute_force_on_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
