@@ -7,11 +7,11 @@
    bounded size: signature batches are compared one after another, and a pair is given up as soon
    as the posterior probability of reaching the threshold falls below `miss`, and so late that a
    pair at the threshold is given up with a probability of `miss` at most.
-4. Survivors are verified exactly on their full shingle sets. A block returns a spanning forest of
-   its links, never its pairs, so copies do not multiply rows.
+4. Survivors are verified exactly on their full shingle sets. A block returns a star for each
+   of its components, never its pairs, so copies do not multiply rows.
 5. A cluster of more than one block is first compared within its parts only, each with HUBS sets of
-   the cluster among it, which join near copies of all parts in one component. Only sets outside the
-   cluster's largest component are then compared with the whole cluster: within that component
+   the cluster among it, which join near copies of all parts. Only sets that are not joined to the
+   hub with the most sets are then compared with the whole cluster: among the others
    every further link would join what is joined already.
 """
 
@@ -174,11 +174,27 @@ def _positions(sets: list[np.ndarray]) -> tuple[int, list[np.ndarray]]:
     return int(twice.sum()), [dense[inv[i:j]][twice[inv[i:j]]] for i, j in zip(cut, cut[1:])]
 
 
+def stars(n: int, forest: list[tuple[int, int]], hub: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(top, member) for every member, top included, of each tree of a forest on n nodes: top is its first hub, else its first member."""
+    trees: dict[int, list[int]] = {}
+    tree = list(range(n))
+    for x, y in forest:
+        small, large = sorted((tree[x], tree[y]), key=lambda t: len(trees.get(t, ())))
+        moved = trees.pop(small, [small])
+        trees.setdefault(large, [large]).extend(moved)
+        for m in moved:
+            tree[m] = large
+    for members in trees.values():
+        top = min(members, key=lambda m: (not hub[m], m))
+        yield from ((top, m) for m in members)
+
+
 def _blocks(num: int, den: int, miss: float):
     def run(table: pa.Table) -> pa.Table:
         node = table["node"].to_numpy()
         cluster, part, i = (table[c].to_numpy() for c in ("cluster", "part", "i"))
         j = table["j"].to_numpy()
+        hub = table["hub"].to_numpy()
         raw = table["members"].to_pylist()
         name = [table["name"].combine_chunks().field(k) for k in range(3)]
         a, b = [], []
@@ -194,8 +210,9 @@ def _blocks(num: int, den: int, miss: float):
             else:
                 side = part[rows] == i[rows]
                 found = links_within(sets, at[side], at[~side], num, den, miss)
-            a += [rows[x] for x, _ in found]
-            b += [rows[y] for _, y in found]
+            for top, x in stars(len(rows), found, hub[rows]):
+                a.append(rows[top])
+                b.append(rows[x])
         return pa.table({n: pa.StructArray.from_arrays([f.take(pa.array(at, pa.int64())) for f in name], ["none", "label", "node"]) for n, at in (("a", a), ("b", b))})
 
     return run
@@ -212,39 +229,37 @@ def _found(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1
     classes = full.groupBy("node").agg(F.min("doc_id").alias("label"), F.first("keys").alias("keys"))
     keyed = classes.select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
-    stars = keyed.join(shared, "key").where("a <> node").select("a", F.col("node").alias("b"))
-    clusters = components(stars).withColumnRenamed("root", "cluster")
+    touching = keyed.join(shared, "key").where("a <> node").select("a", F.col("node").alias("b"))
+    clusters = components(touching).withColumnRenamed("root", "cluster")
     # a class goes by the least doc_id in it, so that the least name that it reaches names the component
     name = F.struct(F.col("label").isNull().alias("none"), "label", "node")
-    named = durable(classes.select("node", "label").join(clusters, "node").select("node", name.alias("name"), "cluster"))
-    sizes = named.groupBy("cluster").agg(F.count("*").alias("n")).select("cluster", F.ceil(F.col("n") / block).cast("int").alias("chunks"))
-    named = durable(named.join(sizes, "cluster"))
-    bins = max(1, named.count() // 512)
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("chunks"))
+    named = durable(classes.select("node", "label").join(clusters, "node").join(sizes, "cluster").select("node", name.alias("name"), "cluster", "chunks"))
+    count, most = named.agg(F.count("*"), F.max("chunks")).first()
+    bins = max(1, count // 512)
     compared = f"a {_NAME}, b {_NAME}"
 
     def blocks(rows: DataFrame) -> DataFrame:
-        """The links that the blocks of rows (node, name, cluster, chunks, part, i, j) hold."""
+        """The links that the blocks of rows (node, name, cluster, chunks, hub, part, i, j) hold."""
         some = rows.select(F.col("name.label").alias("doc_id")).distinct()
         texts = pair.join(some, pair.doc_id.eqNullSafe(some.doc_id), "left_semi").select("text")
         sets = texts.mapInArrow(_sets(shingle), "node long, members binary").dropDuplicates(["node"])
         grp = F.when(F.col("chunks") > 1, F.xxhash64("cluster", "i", "j")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins)))
-        put = sets.join(rows, "node").select(grp.alias("grp"), "node", "name", "cluster", "part", "i", "j", "members")
+        put = sets.join(rows, "node").select(grp.alias("grp"), "node", "name", "cluster", "hub", "part", "i", "j", "members")
         return durable(put.groupBy("grp", F.when(F.col("i") == F.col("j"), 0).otherwise(1).alias("kind")).applyInArrow(_blocks(percent, 100, miss), compared))
 
     # first each part by itself, with the hubs of its cluster among it
-    nodes = named.select("node", "name", "cluster", "chunks")
-    own = nodes.withColumn("part", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    own = named.select("*", F.lit(False).alias("hub"), F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("part"))
     big = own.where("chunks > 1")
-    hubs = big.groupBy("cluster", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(HUBS))).agg(F.min_by(F.struct(*nodes.columns), F.col("node")).alias("hub")).select("hub.*")
-    spread = hubs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    links = blocks(own.unionByName(spread).distinct().withColumn("i", F.col("part")).withColumn("j", F.col("part")))
-    if not big.isEmpty():
-        # then what the largest component of a large cluster has not taken in, against all of the cluster
-        inside = big.select("node", "cluster").join(links.select(F.col("a.node").alias("node"), F.col("b.node").alias("b")), "node")
-        roots = components(inside.select(F.col("node").alias("a"), "b"))
-        reached = durable(big.drop("part").join(roots, "node", "left"))
-        main = reached.where("root IS NOT NULL").groupBy("cluster", "root").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-        sided = reached.join(main, "cluster", "left").withColumn("rest", ~F.col("root").eqNullSafe(F.col("main")) | F.col("main").isNull())
+    hubs = big.groupBy("cluster", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(HUBS))).agg(F.min_by(F.struct(*named.columns), F.col("node")).alias("at"))
+    spread = hubs.select("at.*", F.lit(True).alias("hub")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    links = blocks(own.unionByName(spread).withColumn("i", F.col("part")).withColumn("j", F.col("part")))
+    if (most or 1) > 1:
+        # then what is not linked to the hub with the most links, against all of a large cluster
+        tops = links.groupBy(F.col("b.node").alias("node")).agg(F.min("a.node").alias("top"))
+        reached = big.join(tops, "node", "left")
+        main = reached.groupBy("cluster", "top").agg(F.count("top").alias("n")).groupBy("cluster").agg(F.max_by("top", F.struct("n", "top")).alias("main"))
+        sided = reached.join(main, "cluster").withColumn("rest", ~F.coalesce(F.col("top") == F.col("main"), F.lit(False)))
         n_rest, n_main = F.count(F.when(F.col("rest"), 1)), F.count(F.when(~F.col("rest"), 1))
         counts = sided.groupBy("cluster").agg(F.ceil(n_rest / block).cast("int").alias("rests"), F.ceil(n_main / block).cast("int").alias("mains")).where("rests > 0")
         spot = F.xxhash64("node")
