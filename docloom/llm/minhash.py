@@ -96,7 +96,7 @@ def set_id(h: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return B.mix(c[start + n] - c[start] + n.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def _sets(k: int):
+def _named(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = B.flat(batch.column(0))
@@ -105,11 +105,22 @@ def _sets(k: int):
                 full = np.flatnonzero(np.diff(o))
                 if len(full):
                     ids = set_id(h, o[full], np.diff(o)[full])
-                    yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array([h[o[d] : o[d + 1]].tobytes() for d in full], pa.binary())], ["node", "members"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), batch.column(0).slice(i, j - i).take(pa.array(full))], ["node", "text"])
 
     return run
 
 
+def sets_of(texts: pa.ChunkedArray, k: int) -> list[np.ndarray]:
+    """The shingle sets of texts that all have words."""
+    out: list[np.ndarray] = []
+    for chunk in texts.chunks:
+        buf, offs = B.flat(chunk)
+        for i, j in B.pieces(offs):
+            h, o = B.shingles(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], k)
+            out += [h[a:b] for a, b in zip(o, o[1:])]
+    return out
+
+
 def links_within(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, num: int, den: int, miss: float) -> list[tuple[int, int]]:
     """A spanning forest of the links among sets[left], or between sets[left] and sets[right].
 
@@ -189,21 +200,21 @@ def stars(n: int, forest: list[tuple[int, int]], hub: np.ndarray) -> Iterator[tu
         yield from ((top, m) for m in members)
 
 
-def _blocks(num: int, den: int, miss: float):
+def _blocks(k: int, num: int, den: int, miss: float):
     def run(table: pa.Table) -> pa.Table:
         node = table["node"].to_numpy()
         cluster, part, i = (table[c].to_numpy() for c in ("cluster", "part", "i"))
         j = table["j"].to_numpy()
         hub = table["hub"].to_numpy()
-        raw = table["members"].to_pylist()
-        name = [table["name"].combine_chunks().field(k) for k in range(3)]
+        members = sets_of(table["text"], k)
+        name = [table["name"].combine_chunks().field(n) for n in range(3)]
         a, b = [], []
         order = np.argsort(cluster, kind="stable")
         cut = np.flatnonzero(np.concatenate(([True], np.diff(cluster[order]) != 0, [True])))
         for s, e in zip(cut, cut[1:]):
             rows = order[s:e]
             rows = rows[np.argsort(node[rows], kind="stable")]
-            sets = [np.frombuffer(raw[r], np.uint64) for r in rows]
+            sets = [members[r] for r in rows]
             at = np.arange(len(rows))
             if i[rows[0]] == j[rows[0]]:
                 found = links_within(sets, at, None, num, den, miss)
@@ -243,10 +254,11 @@ def _found(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1
         """The links that the blocks of rows (node, name, cluster, chunks, hub, part, i, j) hold."""
         some = rows.select(F.col("name.label").alias("doc_id")).distinct()
         texts = pair.join(some, pair.doc_id.eqNullSafe(some.doc_id), "left_semi").select("text")
-        sets = texts.mapInArrow(_sets(shingle), "node long, members binary").dropDuplicates(["node"])
+        # texts and not sets, since they take half the bytes in a shuffle
+        sets = texts.mapInArrow(_named(shingle), "node long, text string").dropDuplicates(["node"])
         grp = F.when(F.col("chunks") > 1, F.xxhash64("cluster", "i", "j")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins)))
-        put = sets.join(rows, "node").select(grp.alias("grp"), "node", "name", "cluster", "hub", "part", "i", "j", "members")
-        return durable(put.groupBy("grp", F.when(F.col("i") == F.col("j"), 0).otherwise(1).alias("kind")).applyInArrow(_blocks(percent, 100, miss), compared))
+        put = sets.join(rows, "node").select(grp.alias("grp"), "node", "name", "cluster", "hub", "part", "i", "j", "text")
+        return durable(put.groupBy("grp", F.when(F.col("i") == F.col("j"), 0).otherwise(1).alias("kind")).applyInArrow(_blocks(shingle, percent, 100, miss), compared))
 
     # first each part by itself, with the hubs of its cluster among it
     own = named.select("*", F.lit(False).alias("hub"), F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("part"))
