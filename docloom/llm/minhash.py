@@ -31,6 +31,7 @@ from .common import components, durable, internal
 
 BANDS, ROWS, BATCH = 24, 4, 16
 HUBS = 8
+BROADCAST_ROWS = 1_000_000
 _MUL = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 
 
@@ -232,7 +233,7 @@ def _blocks(k: int, num: int, den: int, miss: float):
 _NAME = "struct<none: boolean, label: bigint, node: bigint>"
 
 
-def _found(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1e-6, block: int = 1024) -> DataFrame:
+def _found(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1e-6, block: int = 1024, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) for every row of docs, see near_duplicates()."""
     pair = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
     feats = durable(pair.mapInArrow(_features(shingle), "doc_id long, text_hash long, n_shingles long, node long, keys array<long>"))
@@ -253,6 +254,7 @@ def _found(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1
     def blocks(rows: DataFrame) -> DataFrame:
         """The links that the blocks of rows (node, name, cluster, chunks, hub, part, i, j) hold."""
         some = rows.select(F.col("name.label").alias("doc_id")).distinct()
+        some = F.broadcast(some) if count <= broadcast_rows else some
         texts = pair.join(some, pair.doc_id.eqNullSafe(some.doc_id), "left_semi").select("text")
         # texts and not sets, since they take half the bytes in a shuffle
         sets = texts.mapInArrow(_named(shingle), "node long, text string").dropDuplicates(["node"])
@@ -291,7 +293,9 @@ def _found(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs (doc_id long, text string).
 
-    Options: shingle (5 words), percent (80), miss (1e-6), block (1024 sets). Links are exact:
+    Options: shingle (5 words), percent (80), miss (1e-6), block (1024 sets),
+    broadcast_rows (ids of compared documents that are broadcast to find their texts; more are joined by
+    a shuffle of the texts). Links are exact:
     100 * intersection >= percent * union of the documents' sets of distinct word shingles.
     component_id is the smallest doc_id reachable over links, itself included.
     Null and empty texts, and texts without words, have an empty set and no links. Rows that share
