@@ -189,7 +189,7 @@ def test_large_cluster_with_drifting_copies_equals_brute_force(spark):
         rows += [(2 * n, " ".join(c)), (2 * n + 1, " ".join(w))]
     want = brute_components(rows, 4)
     assert 1 < len({c for _, c in want.values()})
-    got = minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), shingle=4, block=7).collect()
+    got = minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), shingle=4, block=7, broadcast_rows=0).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
