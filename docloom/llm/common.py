@@ -95,28 +95,42 @@ def internal(df: DataFrame, name: str) -> str:
     return name
 
 
+def forgotten(df: DataFrame) -> DataFrame:
+    """durable(df) without the size that Spark estimated for it.
+
+    The estimate of a join is the product of its sides, and a checkpoint keeps it: in a loop of joins its digits
+    grow exponentially with the rounds, until planning takes longer than the joins.
+    """
+    d, spark = durable(df), df.sparkSession
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(d._jdf.queryExecution().toRdd(), d._jdf.schema(), False), spark)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of the undirected graph of edges (a, b): root is the smallest node reachable.
 
-    Alternating min-label propagation and pointer jumping; a round costs shuffles of the edges
-    only, and each is checkpointed. Nodes may be of any type that has an order. Hot nodes are combined by
-    min() before they are shuffled. The joins by b and by root, on which a hub is hot, have an unaggregated
-    shuffle on that side, so adaptive execution can split it; the join by node has one row for each node.
+    Each round points every node that has a smaller neighbour to the least of them, follows the pointers to their
+    ends by pointer jumping, and contracts the edges to these ends. Edges whose ends have met are gone, alike ones
+    become one, so that later rounds join only what is left to do, and two rounds leave at most half of the
+    nodes that have edges. Nodes may be of any type that has an order. The least neighbours of hot nodes
+    are combined by min() before they are shuffled. The joins by a, b and root, on which a hub is hot, have an unaggregated
+    shuffle on that side, so adaptive execution can split it, and one row for each node on the other.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = durable(both.where("a <> b").distinct())
-    label = durable(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
-    while True:
-        near = (
-            both.join(label, both.b == label.node)
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("root").alias("m"))
-            .join(label, "node")
-            .select("node", F.least("root", "m").alias("root"), F.col("root").alias("was"))
-        )
-        up = label.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        new = durable(near.join(up, "root").select("node", F.least("root", "top").alias("root"), "was"))
-        changed = new.where("root <> was").limit(1).count()
-        label = new.select("node", "root")
-        if not changed:
-            return label
+
+    def contracted(edges: DataFrame) -> DataFrame:
+        return forgotten(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    rest = contracted(edges)
+    label = rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct().select("node", F.col("node").alias("root"))
+    while not rest.isEmpty():
+        up = forgotten(rest.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")))
+        while True:
+            above = up.select(F.col("node").alias("root"), F.col("root").alias("top"))
+            new = forgotten(up.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"), F.col("top").isNotNull().alias("moved")))
+            up = new.select("node", "root")
+            if new.where("moved").isEmpty():
+                break
+        to = {c: up.select(F.col("node").alias(c), F.col("root").alias(f"{c}_top")) for c in ("a", "b", "root")}
+        ends = rest.join(to["a"], "a", "left").join(to["b"], "b")
+        rest = contracted(ends.select(F.coalesce("a_top", "a").alias("a"), F.col("b_top").alias("b")))
+        label = label.join(to["root"], "root", "left").select("node", F.coalesce("root_top", "root").alias("root"))
+    return forgotten(label)
