@@ -4,6 +4,7 @@ import json
 import re
 import unicodedata
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -15,7 +16,7 @@ from docloom.functions import lines as L
 from docloom.operators import figures as G
 from docloom.operators.index import Index, Registry, knn, registry_merge
 from docloom.plans.etl import Config, chunks, model_names, splitter_chain
-from docloom.queries import QUERIES
+from docloom.queries import ORACLE, QUERIES
 from docloom.sources import files as S
 from docloom.streaming.upsert import stream_upserts, windowed_counts
 
@@ -376,6 +377,14 @@ def test_search_in_groups_equals_search_at_once(spark, sf_dir):
     assert a == b and len(a) == 3 * q.count()
 
 
+def test_rounded_components_keep_the_sign_of_zero(spark, tmp_path):
+    spark.createDataFrame([(1, [1.0, -1e-9, 1e-9, -0.0, -0.25]), (2, [0.6, -0.8, 0.0, 2e-7, -6e-7])], "vec_id long, embedding array<double>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = [repr(r) for r in sorted(con.execute(ORACLE["l2_normalize"]).fetchall())]
+    assert [repr(tuple(r)) for r in sorted(QUERIES["l2_normalize"](spark, str(tmp_path)).collect())] == want and "-0.0" in want[0]
+
+
 def test_registry_keeps_other_rows(spark):
     schema = "name string, distance string, model string, types array<string>"
     got = registry_merge(spark.createDataFrame([("a", "cosine", "m", ["flat"]), ("b", "l2", "m", ["flat"])], schema), spark.createDataFrame([("a", "cosine", "m", ["hybrid"]), ("c", "l2", "n", ["flat"])], schema))
