@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from ..functions.lines import each_document, find_sections
+from ..functions.lines import each_document, each_text, find_sections
 from ..functions.text import WORD
 
 
@@ -92,10 +92,7 @@ def recursive_pieces(text: str, size: int, overlap: int, separators: tuple[str,
 def recursive_split(rows: DataFrame, size: int = 1000, overlap: int = 150) -> DataFrame:
     _step(size, overlap)
 
-    @F.pandas_udf(ArrayType(StringType()))
-    def pieces(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: recursive_pieces(t or "", size, overlap))
-
+    pieces = each_text(lambda t: recursive_pieces(t, size, overlap), ArrayType(StringType()))
     return _spread(rows, pieces("page_content"))
 
 
@@ -147,10 +144,7 @@ def semantic_pieces(text: str, size: int, embed: Callable[[str], list[float]], p
 
 
 def semantic_split(rows: DataFrame, size: int = 1000, embed: Callable[[str], list[float]] = hash_embed_values) -> DataFrame:
-    @F.pandas_udf(ArrayType(StringType()))
-    def pieces(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: semantic_pieces(t or "", size, embed))
-
+    pieces = each_text(lambda t: semantic_pieces(t, size, embed), ArrayType(StringType()))
     return _spread(rows, pieces("page_content"))
 
 

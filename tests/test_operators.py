@@ -1,14 +1,17 @@
 """Properties of operators that SQL can't express, stores, streams and plans."""
 
+import gc
 import json
 import re
 import unicodedata
 
 import duckdb
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from docloom.functions import text as T
 from docloom.operators import chunking as C
@@ -54,6 +57,26 @@ def test_compatibility_normalisation(spark):
     assert got == [x if x is None else unicodedata.normalize("NFKC", x) for x in rows]
 
 
+def test_normalisation_takes_no_python_worker(spark):
+    md = spark.createDataFrame([("ﬁ a\u0301 \u1e9b\u0323 \uac00\u11a8 한 ㌀",)], "s string")
+    plan = md.select(T.normalize_markdown(F.col("s")).alias("md"))
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.first().md == unicodedata.normalize("NFKC", md.first().s)
+
+
+def test_documents_are_worked_on_in_small_pieces(spark):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array([None, "x" * 1000] * 50), pa.array([["y"] * i for i in range(100)])], ["doc_id", "md", "l"])
+    parts = list(L.pieces(batch, 4000))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch])) and all(p.nbytes <= 4000 for p in parts) and len(parts) < 40
+    assert [len(p) for p in L.pieces(pa.array(["x" * 9000, "", "y"]), 4000)] == [1, 2] and len(list(L.pieces(batch.slice(0, 0), 0))) == 1
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.when(F.col("id") != 7, F.repeat(F.lit("one line\n"), 20_000)).alias("md"), F.array(F.lit("mark")).alias("l")).coalesce(1)
+    alive = lambda *_: sum(type(x) is list and x == ["mark"] for x in gc.get_objects())  # noqa: E731 - the rows that Python holds at once
+    seen = L.each_document(docs, ["md", "l"], lambda *_: [(alive(),)], "alive int").collect()
+    assert sorted(r.doc_id for r in seen) == [x for x in range(40) if x != 7] and max(r.alive for r in seen) < 10
+    same = docs.select("doc_id", L.each_text(lambda md, l: alive(), IntegerType())("md", "l").alias("alive")).collect()
+    assert [r.doc_id for r in same if r.alive is None] == [7] and max(r.alive or 0 for r in same) < 10 and len(same) == 40
+
+
 def test_normalisation_order(spark):
     cases = {"a [...] b\nkeep": "keep", "x\r\ny\rz": "x\ny\rz", "a-\nb-\nc": "ab-\nc", "a \t b": "a b", "a\n\n\n\nb": "a\n\nb", "  a ": "a", "so­ft": "soft", "a […] b": "a [...] b"}
     got = [r[0] for r in spark.createDataFrame([(x,) for x in cases], "s string").select(T.normalize_markdown(F.col("s"))).collect()]
