@@ -2,10 +2,13 @@
 
 import gc
 import json
+import math
 import re
+import tracemalloc
 import unicodedata
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -17,7 +20,7 @@ from docloom.functions import text as T
 from docloom.operators import chunking as C
 from docloom.functions import lines as L
 from docloom.operators import figures as G
-from docloom.operators.index import Index, Registry, knn, registry_merge
+from docloom.operators.index import Index, Registry, _nearest, knn, registry_merge
 from docloom.plans.etl import Config, chunks, model_names, splitter_chain
 from docloom.queries import ORACLE, QUERIES
 from docloom.sources import files as S
@@ -408,6 +411,32 @@ def test_rounded_components_keep_the_sign_of_zero(spark, tmp_path):
     assert [repr(tuple(r)) for r in sorted(QUERIES["l2_normalize"](spark, str(tmp_path)).collect())] == want and "-0.0" in want[0]
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_search_holds_few_scores_at_once_and_passes_on_the_best_of_a_task(metric):
+    rng = np.random.default_rng(3)
+    x = rng.integers(-2, 3, (6000, 4)).astype(float)  # with many ties and copies
+    ids = rng.permutation(6000)
+    lists = [None if i % 97 == 0 else [*v[:3], None] if i % 89 == 0 else [*v[:3], math.inf] if i % 83 == 0 else v.tolist() for i, v in zip(ids, x)]
+    good = np.array([v is not None and None not in v and math.inf not in v for v in lists])
+    asked = np.flatnonzero(good)[:1500]
+    table = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(lists, pa.list_(pa.float64()))], ["vec_id", "embedding"])
+    tracemalloc.start()
+    found = list(_nearest(ids[asked], x[asked], 5, metric, False, 1 << 16)(iter([table.slice(0, 2500), table.slice(2500, 0), table.slice(2500)])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = {}
+    for b in found:
+        for q, i, s in zip(*(c.to_pylist() for c in b.columns)):
+            got.setdefault(q, []).append((i, s))
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    for a in asked[:200]:
+        score = np.round(unit @ unit[a], 6) if metric == "cosine" else np.round(np.sqrt(((x - x[a]) ** 2).sum(1)), 6)
+        key = np.where(good & (ids != ids[a]), -score if metric == "cosine" else score, np.inf)
+        assert got[ids[a]] == [(ids[j], score[j]) for j in np.lexsort((ids, key))[:5]]
+    assert len(got) == 1500 and all(len(v) == 5 for v in got.values())
+    assert peak < 16 << 20  # all scores at once have 72 MB
+
+
 def test_registry_keeps_other_rows(spark):
     schema = "name string, distance string, model string, types array<string>"
     got = registry_merge(spark.createDataFrame([("a", "cosine", "m", ["flat"]), ("b", "l2", "m", ["flat"])], schema), spark.createDataFrame([("a", "cosine", "m", ["hybrid"]), ("c", "l2", "n", ["flat"])], schema))
