@@ -20,7 +20,7 @@ from docloom.functions import text as T
 from docloom.operators import chunking as C
 from docloom.functions import lines as L
 from docloom.operators import figures as G
-from docloom.operators.index import Index, Registry, _nearest, knn, registry_merge
+from docloom.operators.index import Index, Registry, _nearest, bm25, bm25_documents, knn, postings, registry_merge
 from docloom.plans.etl import Config, chunks, model_names, splitter_chain
 from docloom.queries import ORACLE, QUERIES
 from docloom.sources import files as S
@@ -437,6 +437,38 @@ def test_search_holds_few_scores_at_once_and_passes_on_the_best_of_a_task(metric
     assert peak < 16 << 20  # all scores at once have 72 MB
 
 
+def test_postings_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(1, "b a B c"), (2, ""), (3, None), (4, "É a1 _ a1")], "doc_id long, text string")
+    posts = postings(docs)
+    assert "Exchange" not in posts._jdf.queryExecution().executedPlan().toString()
+    assert sorted(posts.select("doc_id", "term", "dl", "tf").collect()) == [(1, "a", 4, 1), (1, "b", 4, 2), (1, "c", 4, 1), (4, "_", 4, 1), (4, "a1", 4, 2), (4, "é", 4, 1)]
+    some = postings(docs, only=spark.createDataFrame([("a1",), ("b",), ("b",)], "term string"))
+    assert sorted(some.select("doc_id", "term", "dl", "tf").collect()) == [(1, "b", 4, 2), (4, "a1", 4, 2)]
+
+
+@pytest.mark.parametrize("rows", [[(1, "red fox"), (2, None), (3, ""), (4, "red red wine"), (5, "fox")], [(1, "red fox"), (1, "fox red"), (1, "wine red fox"), (2, None), (3, "wine"), (None, "red"), (None, "wine wine")]])
+def test_keyword_search_of_odd_documents_equals_sql(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(7, "red wine red"), (8, "fox"), (9, "none")], "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    for name, columns in (("bm25_postings", "doc_id, term, dl, tf"), ("bm25_search", "query_id, doc_id, score, rank")):
+        want = con.execute(f"SELECT {columns} FROM ({ORACLE[name]})").fetchall()
+        assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).select(*columns.split(", ")).collect()), key=repr) == sorted(want, key=repr), name
+
+
+def test_scores_of_documents_equal_those_of_postings_and_pairs_are_not_shuffled(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.expr("array_join(transform(sequence(0, id % 23), i -> concat('w', (id * 7 + i * i) % 40)), ' ')").alias("text")).coalesce(3)
+    asked = spark.range(1500).select(F.col("id").alias("query_id"), F.explode(F.expr("transform(sequence(0, id % 4), i -> concat('w', (id + 5 * i) % 50))")).alias("term"))
+    n, total = docs.count(), postings(docs).agg(F.sum("tf")).first()[0]
+    want = bm25(postings(docs), n, total / n, asked, 4).select("query_id", "doc_id", "score", "rank").collect()
+    for cells in (1 << 20, 3000):
+        got = bm25_documents(docs, asked, 4, cells=cells)
+        assert sorted(got.select("query_id", "doc_id", "score", "rank").collect()) == sorted(want)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # of the k best of each task
+
+
 def test_registry_keeps_other_rows(spark):
     schema = "name string, distance string, model string, types array<string>"
     got = registry_merge(spark.createDataFrame([("a", "cosine", "m", ["flat"]), ("b", "l2", "m", ["flat"])], schema), spark.createDataFrame([("a", "cosine", "m", ["hybrid"]), ("c", "l2", "n", ["flat"])], schema))
