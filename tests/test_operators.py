@@ -239,6 +239,20 @@ def test_captions_in_a_slice(md, start, stop):
     assert L.find_captions(md, ["Figure", "Table"], start, stop) == want
 
 
+def test_captions_of_several_slices_take_one_pass(spark, sf_dir):
+    docs = spark.createDataFrame([(1, "x\n\nFigure 1\n \t\nTable", 2, 9), (2, None, 0, 1), (3, "\nFigures\n\nFigure", 0, 8)], "doc_id long, md string, a int, b int")
+    got = L.caption_parts(docs, ["Figure", "Table"], {"all": (None, None), "some": ("a", "b")})
+    assert sorted(map(tuple, got.collect())) == [(1, 2, "all"), (1, 2, "some"), (1, 12, "all"), (3, 9, "all")]
+    plan = QUERIES["caption_spots"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1
+
+
+def test_strip_takes_all_kinds_of_space(spark):
+    rows = [f"{c}{c} a{c}b {c}" for c in map(chr, [*range(1, 0x3100), 0xFEFF])] + ["", " ", "\u3000", None]
+    df = spark.createDataFrame([(x,) for x in rows], "s string").select(T.strip(F.col("s")).alias("a"), F.regexp_replace("s", rf"\A{T.SPACE}+|{T.SPACE}+\z", "").alias("b"))
+    assert all(r.a == r.b for r in df.collect())
+
+
 def test_break_of_a_rule_with_a_blank_line_behind():
     assert L.find_break("a\n---\n\nfoo") == 5 and L.find_break("a\n---\nfoo") == 6 and L.find_break("x", 7) == 7
 
